@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from gridsieve.operators.areas import Extent, measure
 from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join
 
+# Cell rectangles are grown by a billionth, so that an edge that meets a cell only
+# at a corner or along its side counts as contact whatever the rounding.
+CONTACT = 1.0 + 1e-9
+
 # Width of an x-bucket in cells.  A span is repeated once per bucket it covers,
 # and a data row only meets the areas that reach its bucket.
 BUCKET_CELLS = 64
@@ -50,10 +54,11 @@ def cell_size(df: DataFrame, column: str) -> float:
 
 
 def _sizes(res: float | tuple[float, float]) -> tuple[float, float]:
+    """Half cell sizes."""
     res_x, res_y = res if isinstance(res, tuple) else (res, res)
     if not (res_x > 0 and res_y > 0):
         raise ValueError("cell sizes must be positive")
-    return res_x / 2.0, res_y / 2.0
+    return res_x / 2.0 * CONTACT, res_y / 2.0 * CONTACT
 
 
 def row_spans(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridsieve.operators.clip import row_spans
+from gridsieve.operators.clip import CONTACT, row_spans
 from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join
 
 # Fixed value: marks masked pixels of a tile that names no value of its own.
@@ -170,10 +170,10 @@ def raster_mask(
         "tile_id",
         "row",
         pixel_y(F.col("row")).alias("row_y"),
-        (F.col("res_x") / 2).alias("hx"),
-        (F.col("res_y") / 2).alias("hy"),
+        (F.col("res_x") / 2 * CONTACT).alias("hx"),
+        (F.col("res_y") / 2 * CONTACT).alias("hy"),
     )
-    band = windows.agg(F.max("res_y").alias("band")).first()["band"] or 1.0
+    band = (windows.agg(F.max("res_y").alias("band")).first()["band"] or 1.0) * CONTACT
     spans = row_spans(rows, edges, ["tile_id", "row"], band, touches)
     fill = F.coalesce(F.col("nodata"), F.lit(DEFAULT_NODATA)).alias("fill")
     cropped = _in_windows(
