@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsieve.operators.areas import area_edges, areas_from_features, read_features
+from gridsieve.scale import materialise
 
 START, END = "1997-01-01T00:00:00", "1998-06-30T00:00:00"
 RES = 0.25
@@ -84,11 +85,12 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tile table: one row per tile, kept once as a stored one would be."""
     sizes = pixels(spark, sf_dir).groupBy("tile_id").agg(
         (F.max("col") + 1).alias("width"), (F.max("row") + 1).alias("height")
     )
     tile = F.col("tile_id")
-    return sizes.select(
+    described = sizes.select(
         "tile_id",
         (F.lit(8) + (tile % 3) * F.lit(2.0)).alias("x0"),
         (F.lit(51) - F.floor(tile / 3) * F.lit(2.0)).alias("y0"),
@@ -98,6 +100,7 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "height",
         F.when(tile % 2 == 0, F.lit(-9999.0)).alias("nodata"),
     )
+    return materialise(described)
 
 
 PIXELS_SQL = """

@@ -150,7 +150,7 @@ WHERE (lat, lon) NOT IN (SELECT 47 + s_suppkey % 9, 5 + s_nationkey % 12 FROM su
 FILE_KEY = """
 WITH files AS (
   SELECT p_partkey AS entry_id, CASE p_partkey % 5
-    WHEN 0 THEN concat('/data/CAMELS_DE_discharge_sim_DE', p_partkey, '.csv')
+    WHEN 0 THEN concat('/data/discharge_sim_DE', p_partkey, '.csv')
     WHEN 1 THEN concat('/data/', replace(p_name, ' ', '_'), '.csv')
     WHEN 2 THEN 'data.csv' WHEN 3 THEN concat('x_', p_partkey, '.tsv')
     ELSE concat('/a_b/', p_name, '_ ', p_partkey, ' .csv') END AS path FROM part),

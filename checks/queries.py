@@ -11,7 +11,7 @@ import gridsieve as gs
 from checks import inputs as inp
 from gridsieve.functions import names
 from gridsieve.functions.timestamps import parse_time, utc_wall_clock
-from gridsieve.scale import scratch_dir
+from gridsieve.scale import materialise, scratch_dir
 from gridsieve.sinks import rawcopy, writers
 from gridsieve.sources import coverage
 from gridsieve.sources.paths import expand_path
@@ -227,7 +227,7 @@ def year_files(spark: SparkSession, sf: str) -> DataFrame:
 def file_key(spark: SparkSession, sf: str) -> DataFrame:
     key, pick = F.col("p_partkey").cast("string"), F.col("p_partkey") % 5
     path = (
-        F.when(pick == 0, F.concat(F.lit("/data/CAMELS_DE_discharge_sim_DE"), key, F.lit(".csv")))
+        F.when(pick == 0, F.concat(F.lit("/data/discharge_sim_DE"), key, F.lit(".csv")))
         .when(pick == 1, F.concat(F.lit("/data/"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit(".csv")))
         .when(pick == 2, F.lit("data.csv"))
         .when(pick == 3, F.concat(F.lit("x_"), key, F.lit(".tsv")))
@@ -367,7 +367,7 @@ def area_vertices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _windows(spark: SparkSession, sf: str, edges: DataFrame) -> DataFrame:
-    return gs.crop_windows(inp.tiles(spark, sf), gs.area_boxes(edges))
+    return materialise(gs.crop_windows(inp.tiles(spark, sf), gs.area_boxes(edges)))
 
 
 def raster_tile_skip(spark: SparkSession, sf: str) -> DataFrame:

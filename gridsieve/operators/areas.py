@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsieve.functions.projections import LambertConformal, project
@@ -40,25 +40,35 @@ def read_features(df: DataFrame, text: str, area_id: str) -> DataFrame:
     )
 
 
-def _closed(ring: Column) -> Column:
-    first, last = F.element_at(ring, 1), F.element_at(ring, -1)
-    return F.when(first == last, ring).otherwise(F.concat(ring, F.array(first)))
+# every ring of a polygon, closed if the input leaves it open
+_CLOSED = (
+    "CASE WHEN points[0] = element_at(points, -1) THEN points "
+    "ELSE concat(points, array(points[0])) END AS points"
+)
+# one struct per pair of neighbours; a ring of one point gives one edge of no length
+_NEIGHBOURS = (
+    "inline(transform(sequence(1, greatest(size(points) - 1, 1)), i -> named_struct("
+    "'x1', points[i - 1][0], 'y1', points[i - 1][1], "
+    "'x2', coalesce(get(points, i)[0], points[i - 1][0]), "
+    "'y2', coalesce(get(points, i)[1], points[i - 1][1]))))"
+)
+
+
+def _rings(areas: DataFrame) -> DataFrame:
+    return (
+        areas.where("feature.geometry.type = 'Polygon'")
+        .selectExpr("area_id", "posexplode(feature.geometry.coordinates) AS (ring, points)")
+        .where("size(points) > 0")
+        .selectExpr("area_id", "ring", _CLOSED)
+    )
 
 
 def area_vertices(areas: DataFrame) -> DataFrame:
     """Every vertex of every ring: ``(area_id, ring, pos, x, y)``, rings closed."""
-    rings = areas.where(F.col("feature.geometry.type") == "Polygon").select(
-        "area_id", F.posexplode("feature.geometry.coordinates").alias("ring", "points")
-    )
-    rings = rings.where(F.size("points") > 0).select(
-        "area_id", "ring", F.posexplode(_closed(F.col("points"))).alias("pos", "point")
-    )
-    return rings.select(
-        "area_id",
-        "ring",
-        "pos",
-        F.element_at("point", 1).alias("x"),
-        F.element_at("point", 2).alias("y"),
+    return (
+        _rings(areas)
+        .selectExpr("area_id", "ring", "posexplode(points) AS (pos, point)")
+        .selectExpr("area_id", "ring", "pos", "point[0] AS x", "point[1] AS y")
     )
 
 
@@ -68,29 +78,7 @@ def area_edges(areas: DataFrame, target: int | LambertConformal = 4326) -> DataF
     Rings are closed when the input leaves them open; heights are ignored.  The
     rings stay in their row while edges are cut out of them, so nothing shuffles.
     """
-    rings = areas.where(F.col("feature.geometry.type") == "Polygon").select(
-        "area_id", F.posexplode("feature.geometry.coordinates").alias("ring", "points")
-    )
-    rings = rings.where(F.size("points") > 0).withColumn("points", _closed(F.col("points")))
-
-    def at(index: Column, axis: int) -> Column:
-        return F.get(F.get(F.col("points"), index), F.lit(axis))
-
-    edges = rings.select(
-        "area_id",
-        "ring",
-        F.inline(
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.size("points") - 1, F.lit(1))),
-                lambda i: F.struct(
-                    at(i - 1, 0).alias("x1"),
-                    at(i - 1, 1).alias("y1"),
-                    F.coalesce(at(i, 0), at(i - 1, 0)).alias("x2"),
-                    F.coalesce(at(i, 1), at(i - 1, 1)).alias("y2"),
-                ),
-            )
-        ),
-    )
+    edges = _rings(areas).selectExpr("area_id", "ring", _NEIGHBOURS)
     if target == 4326:
         return edges
     x1, y1 = project(F.col("x1"), F.col("y1"), target)
@@ -135,6 +123,10 @@ class Extent:
     def empty(self) -> bool:
         return self.areas == 0
 
+    def rows(self, hy: float) -> int:
+        """Bound for the rows of a regular grid that the box can reach."""
+        return 0 if self.empty else int((self.ymax - self.ymin) / (2 * hy)) + 3
+
 
 def measure(edges: DataFrame, hx: float, hy: float, bucket: float) -> Extent:
     """Box and size bounds of the areas: one small aggregate, one row back.
@@ -144,23 +136,20 @@ def measure(edges: DataFrame, hx: float, hy: float, bucket: float) -> Extent:
     two intervals in each (its own and one between crossings), and an interval
     is cut into at most ``area width / bucket + 2`` pieces.
     """
-    reach = F.ceil((F.abs(F.col("y2") - F.col("y1")) + 2 * hy) / (2 * hy)) + 3
-    per_area = edges.groupBy("area_id").agg(
-        F.min(F.least("x1", "x2")).alias("xmin"),
-        F.min(F.least("y1", "y2")).alias("ymin"),
-        F.max(F.greatest("x1", "x2")).alias("xmax"),
-        F.max(F.greatest("y1", "y2")).alias("ymax"),
-        F.count("*").alias("edges"),
-        F.sum(reach).alias("reach"),
+    per_area = (
+        edges.groupBy("area_id")
+        .agg(
+            F.expr("min(least(x1, x2)) AS xmin"),
+            F.expr("min(least(y1, y2)) AS ymin"),
+            F.expr("max(greatest(x1, x2)) AS xmax"),
+            F.expr("max(greatest(y1, y2)) AS ymax"),
+            F.expr("count(*) AS edges"),
+            F.expr(f"sum(ceil((abs(y2 - y1) + {2 * hy!r}D) / {2 * hy!r}D) + 3) AS reach"),
+        )
     )
-    pieces = F.ceil((F.col("xmax") - F.col("xmin") + 2 * hx) / F.lit(bucket)) + 2
-    row = per_area.agg(
-        F.min("xmin").alias("xmin"),
-        F.min("ymin").alias("ymin"),
-        F.max("xmax").alias("xmax"),
-        F.max("ymax").alias("ymax"),
-        F.count("*").alias("areas"),
-        F.coalesce(F.sum("edges"), F.lit(0)).alias("edges"),
-        F.coalesce(F.sum(2 * F.col("reach") * pieces), F.lit(0)).alias("spans"),
+    row = per_area.selectExpr(
+        "min(xmin) AS xmin", "min(ymin) AS ymin", "max(xmax) AS xmax", "max(ymax) AS ymax",
+        "count(*) AS areas", "coalesce(sum(edges), 0) AS edges",
+        f"coalesce(sum(2 * reach * (ceil((xmax - xmin + {2 * hx!r}D) / {bucket!r}D) + 2)), 0) AS spans",
     ).first()
     return Extent(**{k: row[k] for k in ("xmin", "ymin", "xmax", "ymax", "areas", "edges", "spans")})

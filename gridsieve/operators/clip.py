@@ -62,7 +62,13 @@ def _sizes(res: float | tuple[float, float]) -> tuple[float, float]:
 
 
 def row_spans(
-    rows: DataFrame, edges: DataFrame, keys: Sequence[str], band: float, touches: bool
+    rows: DataFrame,
+    edges: DataFrame,
+    keys: Sequence[str],
+    band: float,
+    touches: bool,
+    n_rows: int,
+    limit: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
     """Disjoint intervals ``(area_id, *keys, lo, hi)`` of kept cell centres per row.
 
@@ -71,96 +77,90 @@ def row_spans(
     ties a row to one area; without it a row is tested against all areas.  Rows and edges are matched
     through horizontal bands of height ``band``; an edge is listed only in the
     bands it reaches, so the matches are about as many as the answer needs.
+    ``n_rows`` bounds the number of rows.
     """
     grow = F.lit(0.5 if touches else 0.0) * F.lit(band)
-    # the small pad covers rounding at a band border; the exact test follows
-    low = F.floor((F.least("y1", "y2") - grow) / F.lit(band) - 1e-6)
-    high = F.floor((F.greatest("y1", "y2") + grow) / F.lit(band) + 1e-6)
-    banded_edges = edges.select(
-        "area_id", "x1", "y1", "x2", "y2", F.explode(F.sequence(low, high)).alias("band")
+    # an edge reaches the rows whose cells it meets; the small pad covers rounding at
+    # a band border, and the exact test follows
+    grow = band / 2.0 if touches else 0.0
+    banded_edges = edges.selectExpr(
+        "area_id", "x1", "y1", "x2", "y2",
+        f"explode(sequence(floor((least(y1, y2) - {grow!r}D) / {band!r}D - 1e-6D), "
+        f"floor((greatest(y1, y2) + {grow!r}D) / {band!r}D + 1e-6D))) AS band",
     )
-    banded_rows = rows.withColumn("band", F.floor(F.col("row_y") / F.lit(band)))
-    y, hx, hy = F.col("row_y"), F.col("hx"), F.col("hy")
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    crosses = (y1 > y) != (y2 > y)
-    near = (y - hy <= F.greatest(y1, y2)) & (y + hy >= F.least(y1, y2))
+    banded_rows = rows.selectExpr("*", f"floor(row_y / {band!r}D) AS band")
     on = ["area_id", "band"] if "area_id" in rows.columns else ["band"]
     keys = [k for k in keys if k != "area_id"]
-    pairs = banded_edges.join(banded_rows, on).where(near if touches else crosses)
-    pairs = pairs.withColumn("cross", F.when(crosses, _x_at(y)))
     group = ["area_id", *keys]
-    by_cross = Window.partitionBy(*group).orderBy(F.col("cross").asc_nulls_last())
-    opens = F.col("cross").isNotNull() & (F.col("nth") % 2 == 1) & (F.col("next_cross") > F.col("cross"))
-
-    def with_intervals(df: DataFrame) -> DataFrame:
-        return df.withColumn("nth", F.row_number().over(by_cross)).withColumn(
-            "next_cross", F.lead("cross").over(by_cross)
-        )
-
+    window = "PARTITION BY " + ", ".join(f"`{g}`" for g in group)
+    crosses = "(y1 > row_y) <> (y2 > row_y)"
+    near = "row_y - hy <= greatest(y1, y2) AND row_y + hy >= least(y1, y2)"
+    pairs = lookup_join(
+        banded_edges, banded_rows, on, "inner", n_rows, F.expr(near if touches else crosses), limit
+    )
+    # where the edge crosses the row centre, and the order of the crossings
+    cross = f"CASE WHEN {crosses} THEN {_x_at('row_y')} END AS cross"
+    order = (
+        f"row_number() OVER ({window} ORDER BY cross ASC NULLS LAST) AS nth",
+        f"lead(cross) OVER ({window} ORDER BY cross ASC NULLS LAST) AS next_cross",
+    )
+    opens = "cross IS NOT NULL AND nth % 2 = 1 AND next_cross > cross"
     if not touches:
-        return with_intervals(pairs.select(*group, "cross")).where(opens).select(
-            *group, F.col("cross").alias("lo"), F.col("next_cross").alias("hi")
+        return (
+            pairs.selectExpr(*group, cross)
+            .selectExpr(*group, "cross", *order)
+            .where(opens)
+            .selectExpr(*group, "cross AS lo", "next_cross AS hi")
         )
     # the x-range of the edge where it passes the height of the row
-    low_end, high_end = F.least("y1", "y2"), F.greatest("y1", "y2")
-    reach = pairs.select(
-        *group,
-        "hx",
-        "cross",
-        F.least("x1", "x2").alias("x_min"),
-        F.greatest("x1", "x2").alias("x_max"),
-        (y1 == y2).alias("flat"),
-        _x_at(F.greatest(y - hy, low_end)).alias("x_bottom"),
-        _x_at(F.least(y + hy, high_end)).alias("x_top"),
-    ).select(
-        *group,
-        "cross",
-        (
-            F.when(F.col("flat"), F.col("x_min")).otherwise(
-                F.greatest(F.least("x_bottom", "x_top"), F.col("x_min"))
-            )
-            - hx
-        ).alias("left"),
-        (
-            F.when(F.col("flat"), F.col("x_max")).otherwise(
-                F.least(F.greatest("x_bottom", "x_top"), F.col("x_max"))
-            )
-            + hx
-        ).alias("right"),
+    reach = pairs.selectExpr(
+        *group, "hx", cross,
+        "least(x1, x2) AS x_min", "greatest(x1, x2) AS x_max", "y1 = y2 AS flat",
+        "greatest(row_y - hy, least(y1, y2)) AS bottom", "least(row_y + hy, greatest(y1, y2)) AS top",
+        f"{_x_at('bottom')} AS x_bottom", f"{_x_at('top')} AS x_top",
+    ).selectExpr(
+        *group, "cross",
+        "if(flat, x_min, greatest(least(x_bottom, x_top), x_min)) - hx AS left_x",
+        "if(flat, x_max, least(greatest(x_bottom, x_top), x_max)) + hx AS right_x",
     )
     # the edge's own interval, and the inside interval that starts at its crossing
-    edge_part = F.struct(F.col("left").alias("lo"), F.col("right").alias("hi"))
-    inside_part = F.struct(F.col("cross").alias("lo"), F.col("next_cross").alias("hi"))
-    parts = with_intervals(reach).select(
-        *group, F.inline(F.when(opens, F.array(edge_part, inside_part)).otherwise(F.array(edge_part)))
+    parts = reach.selectExpr(*group, "cross", "left_x", "right_x", *order).selectExpr(
+        *group,
+        f"inline(CASE WHEN {opens} "
+        "THEN array(struct(left_x AS lo, right_x AS hi), struct(cross AS lo, next_cross AS hi)) "
+        "ELSE array(struct(left_x AS lo, right_x AS hi)) END)",
     )
     return merge_spans(parts, group)
 
 
-def _x_at(height: Column) -> Column:
+def _x_at(height: str) -> str:
     """x of an edge ``x1, y1, x2, y2`` at a height, exact at both ends."""
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
-    between = (x2 - x1) * (height - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1
-    return F.when(height == y1, x1).when(height == y2, x2).otherwise(between)
+    return (
+        f"CASE WHEN {height} = y1 THEN x1 WHEN {height} = y2 THEN x2 "
+        f"ELSE (x2 - x1) * ({height} - y1) / nullif(y2 - y1, 0D) + x1 END"
+    )
 
 
 def merge_spans(parts: DataFrame, group: Sequence[str]) -> DataFrame:
     """Merge overlapping intervals per group, so that a cell meets at most one."""
-    by_start = Window.partitionBy(*group).orderBy("lo", "hi")
-    reached = F.max("hi").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    starts = F.when(F.col("lo") <= F.col("reached"), 0).otherwise(1)
-    islands = parts.withColumn("reached", reached).withColumn(
-        "island", F.sum(starts).over(by_start.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    window = "PARTITION BY " + ", ".join(f"`{g}`" for g in group) + " ORDER BY lo, hi"
     return (
-        islands.groupBy(*group, "island")
+        parts.selectExpr(
+            "*",
+            f"max(hi) OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached",
+        )
+        .selectExpr(
+            *group, "lo", "hi",
+            f"sum(if(lo <= reached, 0, 1)) OVER ({window} ROWS UNBOUNDED PRECEDING) AS island",
+        )
+        .groupBy(*group, "island")
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         .drop("island")
     )
 
 
-def bucket_width(hx: float, bucket_cells: int = BUCKET_CELLS) -> float:
-    return 2.0 * hx * bucket_cells
+def bucket_width(hx: float) -> float:
+    return 2.0 * hx * BUCKET_CELLS
 
 
 def in_box(extent: Extent, hx: float, hy: float, x: str = "x", y: str = "y") -> Column:
@@ -186,15 +186,16 @@ def cell_spans(
     edges: DataFrame,
     hx: float,
     hy: float,
-    touches: bool = True,
-    bucket_cells: int = BUCKET_CELLS,
+    touches: bool,
+    n_rows: int,
+    limit: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
     """Spans ``(area_id, row_y, bucket, lo, hi)`` for distinct row coordinates ``row_y``."""
     sized = rows.select("row_y", F.lit(hx).alias("hx"), F.lit(hy).alias("hy"))
-    spans = row_spans(sized, edges, ["row_y"], 2.0 * hy, touches)
-    width = bucket_width(hx, bucket_cells)
-    first, last = F.floor(F.col("lo") / F.lit(width)), F.floor(F.col("hi") / F.lit(width))
-    return spans.withColumn("bucket", F.explode(F.sequence(first, last)))
+    spans = row_spans(sized, edges, ["row_y"], 2.0 * hy, touches, n_rows, limit)
+    width = bucket_width(hx)
+    buckets = f"explode(sequence(floor(lo / {width!r}D), floor(hi / {width!r}D))) AS bucket"
+    return spans.selectExpr("*", buckets)
 
 
 def _clip_join(
@@ -213,13 +214,13 @@ def _clip_join(
     extent = measure(edges, hx, hy, width)
     boxed = df.where(in_box(extent, hx, hy, x, y))
     axis = (boxed if rows is None else rows).select(F.col(y).alias("row_y")).distinct()
-    spans = cell_spans(axis, edges, hx, hy, touches)
+    spans = cell_spans(axis, edges, hx, hy, touches, extent.rows(hy), limit)
     if how != "inner":
         spans = spans.drop("area_id")
     if how == "left_outer" and extent.areas > 1:
         # several areas may hold the same cell, which must come out once
         spans = merge_spans(spans.distinct(), ["row_y", "bucket"])
-    keyed = boxed.withColumn("row_y", F.col(y)).withColumn("bucket", F.floor(F.col(x) / F.lit(width)))
+    keyed = boxed.select("*", F.col(y).alias("row_y"), F.floor(F.col(x) / F.lit(width)).alias("bucket"))
     inside = (F.col(x) >= F.col("lo")) & (F.col(x) <= F.col("hi") if touches else F.col(x) < F.col("hi"))
     joined = lookup_join(keyed, spans, ["row_y", "bucket"], how, extent.spans, inside, limit)
     return joined.drop("row_y", "bucket")

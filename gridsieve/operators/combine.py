@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridsieve.functions.names import output_name
-from gridsieve.scale import number_in_order
+from gridsieve.scale import lookup_join, materialise, number_in_order
 
 
 def concat_frames(frames: list[DataFrame]) -> DataFrame:
@@ -37,11 +37,12 @@ def part_names(files: DataFrame) -> DataFrame:
     the entry has one candidate, and numbers advance only for written tiles.
     Files are numbered in path order.
     """
-    candidates = files.groupBy("entry_id").agg(F.count("*").alias("n_candidates"))
+    candidates = materialise(files.groupBy("entry_id").agg(F.count("*").alias("n_candidates")))
     numbered = number_in_order(files.where("kept"), ["entry_id"], ["path"], "part")
     stem = output_name(F.col("variable_name"), F.col("entry_id"))
     single = (F.col("route") == "raster") & (F.col("n_candidates") == 1)
     part = F.concat(stem, F.lit("_part_"), F.col("part").cast("string"))
-    return numbered.join(candidates, "entry_id").select(
+    named = lookup_join(numbered, candidates, ["entry_id"], "inner", candidates.count())
+    return named.select(
         "entry_id", "route", "path", "part", F.when(single, stem).otherwise(part).alias("target")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridsieve.operators.clip import CONTACT, row_spans
-from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join
+from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join, materialise
 
 # Fixed value: marks masked pixels of a tile that names no value of its own.
 DEFAULT_NODATA = -9999.0
@@ -173,8 +173,16 @@ def raster_mask(
         (F.col("res_x") / 2 * CONTACT).alias("hx"),
         (F.col("res_y") / 2 * CONTACT).alias("hy"),
     )
-    band = (windows.agg(F.max("res_y").alias("band")).first()["band"] or 1.0) * CONTACT
-    spans = row_spans(rows, edges, ["tile_id", "row"], band, touches)
+    known = windows.agg(
+        F.coalesce(F.max("res_y"), F.lit(1.0)).alias("band"),
+        F.coalesce(F.sum("new_height"), F.lit(0)).alias("rows"),
+    ).first()
+    # the spans come from tile rows, so counting them does not read the pixels
+    spans = materialise(
+        row_spans(
+            rows, edges, ["tile_id", "row"], known["band"] * CONTACT, touches, known["rows"], limit
+        )
+    )
     fill = F.coalesce(F.col("nodata"), F.lit(DEFAULT_NODATA)).alias("fill")
     cropped = _in_windows(
         pixels, windows.select("tile_id", "area_id", "x0", "res_x", fill, *_WINDOW), limit
@@ -182,7 +190,6 @@ def raster_mask(
     inside = (F.col("px") >= F.col("lo")) & (
         F.col("px") <= F.col("hi") if touches else F.col("px") < F.col("hi")
     )
-    # the spans come from tile rows, so counting them does not read the pixels
     marked = lookup_join(
         cropped, spans, ["area_id", "tile_id", "row"], "left_outer", spans.count(), inside, limit
     )

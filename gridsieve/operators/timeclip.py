@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridsieve.functions.timestamps import bound
-from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join
+from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join, materialise
 
 Bound = str | datetime | Column | None
 
@@ -68,7 +68,7 @@ def file_skip(
 
     With data partitioned by ``file`` the semi join prunes partitions at run time.
     """
-    kept = kept_files(manifest, start, end).select(file)
+    kept = materialise(kept_files(manifest, start, end).select(file))
     return lookup_join(df, kept, [file], "left_semi", kept.count(), limit=limit)
 
 

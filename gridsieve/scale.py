@@ -42,6 +42,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/gridsieve-{name}"
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Work a small derived table out once and keep it in the checkpoint folder.
+
+    For lookup tables that are counted first and joined afterwards.  A checkpoint
+    lies in shared storage, so it outlives the executors that made it.
+    """
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        scratch_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def lookup_join(
     large: DataFrame,
     lookup: DataFrame,
@@ -85,13 +96,8 @@ def number_in_order(
     shifted by the number of rows the group has in earlier partitions.  The
     partition number is fixed by a checkpoint before it is used twice.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        scratch_dir(spark)
-    keys = [F.col(c) for c in [*group, *order]]
-    placed = (
-        df.repartitionByRange(*keys).withColumn("__slot", F.spark_partition_id()).checkpoint()
-    )
+    ranged = df.repartitionByRange(*[F.col(c) for c in [*group, *order]])
+    placed = materialise(ranged.withColumn("__slot", F.spark_partition_id()))
     per_slot = placed.groupBy(*group, "__slot").agg(F.count("*").alias("__n"))
     before = Window.partitionBy(*group).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
     shift = per_slot.select(
