@@ -1,0 +1,175 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+import gridsieve as gs
+from gridsieve.functions import names
+from gridsieve.sinks import writers
+
+
+def column(spark, expression, *texts):
+    data = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    return [r["v"] for r in data.select("i", expression(F.col("t")).alias("v")).orderBy("i").collect()]
+
+
+def test_suffix(spark):
+    paths = ["/a/b.CSV", "/a/*.tif", "/a/b", "/a.d/b", ".hidden", "/x/.nc", "a.tar.gz", "/a/b.nc/", "b.", ""]
+    assert column(spark, names.suffix, *paths) == [
+        ".csv", ".tif", "", "", "", "", ".gz", ".nc", "", "",
+    ]
+
+
+def test_station_file_names(spark):
+    paths = ["/d/discharge_sim_DE910910.csv", "data.csv", "x_1.tsv", "/a_b/c.csv", "a_ 7 .csv", "a_b_.csv"]
+    assert column(spark, names.station_key, *paths) == ["DE910910", "data", "1.tsv", "c", "7", ""]
+    assert column(spark, names.station_file, *paths) == [
+        "discharge_sim_DE910910.csv", "data.csv_data.csv", "x_1.tsv.csv", "c.csv_c.csv", "a_7.csv", "a_b_.csv",
+    ]
+
+
+def test_glob_takes_everything_but_the_star_literally(spark):
+    texts = ["ab", "a%b", "a_b", "a\\b", "axxb", "AB"]
+
+    def hits(pattern):
+        found = column(spark, lambda c: names.glob_like(c, pattern), *texts)
+        return [t for t, hit in zip(texts, found, strict=True) if hit]
+
+    assert hits("a*b") == ["ab", "a%b", "a_b", "a\\b", "axxb"]
+    assert hits("a%b") == ["a%b"]
+    assert hits("a_b") == ["a_b"]
+    assert hits("a\\b") == ["a\\b"]
+    assert hits("*") == texts
+
+
+def test_routes(spark):
+    rows = [("internal", "table.nc"), ("external", "x.csv"), ("local", "/d/*.NC"), ("local", "/d"), ("local", "a.DEM"),
+            ("local", "a.dat"), ("local", "a.zip")]
+    data = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i INT, k STRING, p STRING")
+    found = data.select("i", names.source_route(F.col("k"), F.col("p")).alias("r")).orderBy("i").collect()
+    assert [r["r"] for r in found] == ["sql", "unsupported", "grid", None, "raster", "csv", None]
+
+
+@pytest.fixture
+def catalog(spark):
+    return spark.createDataFrame(
+        [(1, "b"), (1, "a"), (2, "c"), (3, "d"), (3, "d")], "entry_id BIGINT, title STRING"
+    )
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_lookup_keeps_order_and_repeats(spark, catalog, limit):
+    first = gs.first_match(catalog, "entry_id", ["title"])
+    assert {(r["entry_id"], r["title"], r["n_matches"]) for r in first.collect()} == {
+        (1, "a", 2), (2, "c", 1), (3, "d", 2),
+    }
+    requests = spark.createDataFrame([(7, [3, 1, 1, 9])], "request_id BIGINT, dataset_ids ARRAY<BIGINT>")
+    wanted = gs.requested_ids(requests)
+    found = gs.lookup(wanted, first, limit=limit).orderBy("position").collect()
+    assert [(r["position"], r["title"]) for r in found] == [(0, "d"), (1, "a"), (2, "a")]
+    lost = gs.missing(wanted, first, limit=limit).collect()
+    assert [(r["position"], r["dataset_id"]) for r in lost] == [(3, 9)]
+
+
+def test_find_or_create_is_idempotent_and_null_safe(spark):
+    existing = spark.createDataFrame([("x", "m"), (None, "none")], "name STRING, unit STRING")
+    candidates = spark.createDataFrame(
+        [("x", "km"), ("y", "s"), ("y", "min"), (None, "other")], "name STRING, unit STRING"
+    )
+    once = gs.find_or_create(existing, candidates, ["name"])
+    assert {tuple(r) for r in once.collect()} == {("x", "m", False), (None, "none", False), ("y", "min", True)}
+    twice = gs.find_or_create(once.drop("created"), candidates, ["name"])
+    assert twice.where("created").count() == 0
+
+
+def test_request_defaults_and_unknown_keys(spark):
+    documents = [
+        {"any_tool": {"parameters": {"dataset_ids": [9], "start_date": "1980-01-01T12:00:00"}}},
+        {"any_tool": {"parameters": {"dataset_ids": [1, 1], "cell_touches": False, "resolution": 30,
+                                     "start_date": "2000-01-01T12:00:00+01:00", "end_date": "2010-12-31T12:00:00+01"}}},
+        {"any_tool": {"parameters": {}}},
+    ]
+    rows = [(i, json.dumps(d)) for i, d in enumerate(documents)] + [(3, "{"), (4, None)]
+    parsed = gs.parse_requests(spark.createDataFrame(rows, "i INT, doc STRING"), "doc").orderBy("i").collect()
+    assert [r["valid"] for r in parsed] == [True, True, False, False, False]
+    assert parsed[0]["cell_touches"] is True and parsed[0]["end_date"] is None
+    assert parsed[0]["reference_area"] is None
+    assert parsed[1]["cell_touches"] is False and parsed[1]["dataset_ids"] == [1, 1]
+    assert str(parsed[1]["start_date"]) == "2000-01-01 11:00:00"
+    assert str(parsed[1]["end_date"]) == "2010-12-31 11:00:00"
+
+
+def test_request_of_a_named_tool(spark):
+    text = json.dumps({"a": {"parameters": {"dataset_ids": [1]}}, "b": {"parameters": {"dataset_ids": [2]}}})
+    data = spark.createDataFrame([(text,)], "doc STRING")
+    assert gs.parse_requests(data, "doc", "b").first()["dataset_ids"] == [2]
+    assert gs.parse_requests(data, "doc", "c").first()["valid"] is False
+
+
+def collection(x):
+    ring = [[x, 0.0], [x + 1, 0.0], [x + 1, 1.0], [x, 0.0]]
+    feature = {"type": "Feature", "properties": {}, "geometry": {"type": "Polygon", "coordinates": [ring]}}
+    return json.dumps({"type": "FeatureCollection", "features": [feature]})
+
+
+def test_fan_out_splits_long_id_lists_and_loses_none(spark):
+    files = spark.createDataFrame([("c1", collection(1.0)), ("c2", collection(2.0))], "catchment STRING, doc STRING")
+    ids = spark.range(25).select(F.col("id").alias("entry_id"))
+    one = gs.fan_out(files, "doc", "catchment", ids, 2000, 2010, "extractor").collect()
+    assert sorted(r["catchment"] for r in one) == ["c1", "c2"]
+    request = json.loads(one[0]["request"])["extractor"]["parameters"]
+    assert request["dataset_ids"] == list(range(25))
+    assert request["start_date"] == "2000-01-01T12:00:00+01"
+    assert request["end_date"] == "2010-12-31T12:00:00+01"
+    split = gs.fan_out(files, "doc", "catchment", ids, 2000, 2010, "extractor", ids_per_request=10)
+    found = split.select("catchment", F.explode("dataset_ids").alias("id"))
+    assert split.count() == 6 and found.distinct().count() == found.count() == 50
+    none = gs.fan_out(files, "doc", "catchment", ids.where("entry_id < 0"), 2000, 2010, "extractor").collect()
+    assert [r["dataset_ids"] for r in none] == [[], []]
+
+
+def test_fanned_out_requests_parse_again(spark):
+    files = spark.createDataFrame([("c1", collection(1.0))], "catchment STRING, doc STRING")
+    ids = spark.range(3).select(F.col("id").alias("entry_id"))
+    made = gs.fan_out(files, "doc", "catchment", ids, 2000, 2010, "extractor")
+    parsed = gs.parse_requests(made.select("catchment", "request"), "request").first()
+    assert parsed["dataset_ids"] == [0, 1, 2] and str(parsed["start_date"]) == "2000-01-01 11:00:00"
+    assert parsed["reference_area"]["geometry"]["coordinates"][0][0] == [1.0, 0.0]
+
+
+def test_dispatch_of_outputs(spark):
+    rows = [("frame", "a.csv"), ("frame", "a"), ("frame", "a.parquet"), ("grid", "g_1"), ("other", "x")]
+    data = spark.createDataFrame(rows, "k STRING, t STRING")
+    form, final = writers.dispatch(F.col("k"), F.col("t"))
+    assert [tuple(r) for r in data.select(form, final).collect()] == [
+        ("csv", "a.csv"), ("parquet", "a.parquet"), ("parquet", "a.parquet"), ("cells", "g_1.parquet"),
+        ("raw", "raw/x"),
+    ]
+
+
+def test_metadata_documents(spark):
+    entry = spark.sql(
+        "SELECT 1L AS entry_id, 30.50BD AS support, timestamp_ntz '2020-01-02 03:04:05.25' AS created, "
+        "CAST(NULL AS STRING) AS license, array('v') AS variable_names, map('sep', ';') AS args"
+    )
+    document = json.loads(writers.metadata_json(entry).first()["metadata"])
+    assert document == {
+        "entry_id": 1, "support": 30.5, "created": "2020-01-02T03:04:05.250000", "license": None,
+        "variable_names": ["v"], "args": {"sep": ";"},
+    }
+
+
+def test_part_names(spark):
+    rows = [
+        (1, "grid", "b", True), (2, "raster", "a", True), (3, "raster", "c", True), (3, "raster", "a", False),
+        (3, "raster", "b", True), (4, "raster", "a", True), (4, "raster", "b", False), (5, "raster", "a", False),
+    ]
+    files = spark.createDataFrame(rows, "entry_id BIGINT, route STRING, path STRING, kept BOOLEAN")
+    named = gs.part_names(files.withColumn("variable_name", F.lit("air temp")))
+    assert {(r["entry_id"], r["path"], r["target"]) for r in named.collect()} == {
+        (1, "b", "air_temp_1_part_1"),
+        (2, "a", "air_temp_2"),
+        (3, "b", "air_temp_3_part_1"),
+        (3, "c", "air_temp_3_part_2"),
+        (4, "a", "air_temp_4_part_1"),
+    }

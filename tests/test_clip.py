@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import gridsieve as gs
 from checks import inputs as inp
+from gridsieve.functions.projections import LambertConformal, project
 
 GOLDEN = {  # area: rows, sum of v for bbox, centre, touch
     "A1": ((41794, 1060230), (16398, 417258), (22938, 581947)),
@@ -225,3 +226,14 @@ def test_projection_of_the_origin(spark):
     mercator = gs.area_edges(areas, 3857).first()
     assert mercator["x1"] == pytest.approx(1113194.9079, abs=1e-3)
     assert mercator["y1"] == pytest.approx(6800125.4544, abs=1e-3)
+
+
+def test_lambert_conformal_against_a_published_example(spark):
+    """Worked example of IOGP Guidance Note 7-2: Texas South Central, in US feet."""
+    texas = LambertConformal(
+        28 + 23 / 60, 30 + 17 / 60, 27 + 50 / 60, -99.0, 2_000_000.0, 0.0, (20925832.16, 294.97870)
+    )
+    x, y = project(F.lit(-96.0), F.lit(28.5), texas)
+    row = spark.range(1).select(x.alias("x"), y.alias("y")).first()
+    assert row["x"] == pytest.approx(2963503.91, abs=0.02)
+    assert row["y"] == pytest.approx(254759.80, abs=0.02)

@@ -1,0 +1,90 @@
+import pytest
+from pyspark.sql import functions as F
+
+from checks.inputs import edges, tiles
+from checks.queries import QUERIES
+from conftest import SF_SMALL
+from gridsieve import scale
+
+
+@pytest.mark.parametrize("how", ["inner", "left_outer", "left_semi", "left_anti"])
+def test_salted_join_equals_broadcast_join(spark, how):
+    # one key holds a third of the rows, and rows are copies of each other
+    large = spark.range(900).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
+    lookup = spark.range(40).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("w"))
+    residual = F.col("w") >= 50
+    small = scale.lookup_join(large, lookup, ["k"], how, 40, residual)
+    salted = scale.lookup_join(large, lookup, ["k"], how, 40, residual, limit=0)
+    assert small.columns == salted.columns
+    assert sorted(map(str, small.collect())) == sorted(map(str, salted.collect()))
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    large = spark.range(0, 100_000, 1, 8).select(F.lit(1).alias("k"), "id")
+    lookup = spark.sql("SELECT 1 AS k, 2 AS w")
+    joined = scale.lookup_join(large, lookup, ["k"], "inner", 10**9)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(sizes) == 100_000 and max(sizes) < 60_000
+
+
+def test_numbers_in_order_of_a_hot_group(spark):
+    data = spark.range(5000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
+        F.format_string("p%06d", (F.col("id") * 7919) % 5003).alias("p"),
+    )
+    numbered = scale.number_in_order(data, ["g"], ["p"], "n")
+    assert numbered.count() == 5000
+    per_group = numbered.groupBy("g").agg(
+        F.sort_array(F.collect_list(F.struct("n", "p"))).alias("rows")
+    ).collect()
+    for row in per_group:
+        assert [r["n"] for r in row["rows"]] == list(range(1, len(row["rows"]) + 1))
+        assert [r["p"] for r in row["rows"]] == sorted(r["p"] for r in row["rows"])
+
+
+def test_scratch_folders_follow_the_session_setting(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scale.scratch_dir(spark), scale.scratch_dir(spark)
+    assert first.startswith(f"{shared}/gridsieve-") and first != second
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_query_pairs_all_rows(spark, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan, name
+
+
+def test_only_needed_columns_are_scanned(spark):
+    plan = QUERIES["clip_touch"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "l_comment" not in plan and "l_extendedprice" not in plan
+    plan = QUERIES["time_clip"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate,1997-01-01T00:00)" in plan
+    assert "LessThanOrEqual(l_shipdate,1998-06-30T00:00)" in plan
+
+
+def test_span_bound_holds(spark):
+    from gridsieve.operators import clip
+    from gridsieve.operators.areas import measure
+
+    all_edges = edges(spark, "A1", "A2", "A3", "A4")
+    for half in (0.125, 0.01, 2.0):
+        width = clip.bucket_width(half)
+        extent = measure(all_edges, half, half, width)
+        rows = spark.range(int(60 / (2 * half))).select((F.col("id") * 2 * half).alias("row_y"))
+        for touches in (True, False):
+            spans = clip.cell_spans(rows, all_edges, half, half, touches, extent.rows(half))
+            assert spans.count() <= extent.spans
+        reached = rows.where(F.col("row_y").between(extent.ymin - half, extent.ymax + half)).count()
+        assert reached <= extent.rows(half)
+
+
+def test_tile_table_is_kept_once(spark):
+    assert "Scan ExistingRDD" in tiles(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
