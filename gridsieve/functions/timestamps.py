@@ -1,8 +1,8 @@
 """Time bounds and time columns on zone-less UTC timestamps.
 
-All arithmetic stays on TIMESTAMP_NTZ: an offset is read from the text and
-subtracted, so neither the session zone nor a daylight-saving switch matters.
-Applied to a literal, the whole expression folds to one constant and can be
+Text with an offset names an instant, which is counted from the epoch in UTC; text
+without one is taken as it is.  Neither the session zone nor a daylight-saving
+switch matters.  Applied to a literal, the whole expression folds to one constant and can be
 pushed into a scan.
 """
 
@@ -13,8 +13,10 @@ from datetime import datetime, timezone
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# date and clock part | optional offset
-_WITH_OFFSET = r"^\s*(.+?[T ]\d{1,2}(?::\d{2}(?::\d{2}(?:\.\d+)?)?)?)\s*(Z|[+-]\d{2}(?::?\d{2})?)\s*\z"
+# a clock time that ends in Z or an offset
+_WITH_OFFSET = r"[T ]\d{1,2}(:\d{2}){0,2}(\.\d+)?\s*(Z|[+-]\d{2}(:?\d{2})?)\s*$"
+# the same without seconds, which a cast with an offset does not take
+_NO_SECONDS = r"([T ]\d{1,2}:\d{2})\s*(Z|[+-]\d{2}(?::?\d{2})?)\s*$"
 _COMPACT = r"^\s*(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2})?)?\s*\z"
 _MONTH_FIRST = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(?:[T ]+(\S+))?\s*\z"
 
@@ -24,16 +26,12 @@ def utc_wall_clock(text: Column) -> Column:
 
     Text that is not a timestamp gives null.
     """
-    clock = F.regexp_extract(text, _WITH_OFFSET, 1)
-    offset = F.regexp_extract(text, _WITH_OFFSET, 2)
-    digits = F.replace(offset, F.lit(":"), F.lit(""))
-    hours = F.coalesce(F.substring(digits, 2, 2).try_cast("int"), F.lit(0))
-    minutes = F.coalesce(F.substring(digits, 4, 2).try_cast("int"), F.lit(0))
-    sign = F.when(F.substring(digits, 1, 1) == "-", -1).otherwise(1)
-    shift = F.make_dt_interval(F.lit(0), sign * hours, sign * minutes, F.lit(0))
-    return F.when(offset != "", clock.try_cast("timestamp_ntz") - shift).otherwise(
-        text.try_cast("timestamp_ntz")
-    )
+    with_seconds = F.regexp_replace(text, _NO_SECONDS, "$1:00$2")
+    since_epoch = F.unix_micros(with_seconds.try_cast("timestamp"))
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.when(
+        text.rlike(_WITH_OFFSET), F.timestamp_add("MICROSECOND", since_epoch, epoch)
+    ).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def parse_time(text: Column) -> Column:

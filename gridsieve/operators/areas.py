@@ -35,9 +35,9 @@ def areas_from_features(spark: SparkSession, features: Iterable[tuple[object, di
 
 def read_features(df: DataFrame, text: str, area_id: str) -> DataFrame:
     """``(area_id, feature)`` rows from a column of GeoJSON Feature text."""
-    return df.select(
-        F.col(area_id).alias("area_id"), F.from_json(F.col(text), FEATURE).alias("feature")
-    )
+    # unfolding an array of one parses the text once, not once per use
+    parsed = F.struct(F.from_json(F.col(text), FEATURE).alias("feature"))
+    return df.select(F.col(area_id).alias("area_id"), F.inline(F.array(parsed)))
 
 
 # every ring of a polygon, closed if the input leaves it open

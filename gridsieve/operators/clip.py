@@ -213,7 +213,10 @@ def _clip_join(
     width = bucket_width(hx)
     extent = measure(edges, hx, hy, width)
     boxed = df.where(in_box(extent, hx, hy, x, y))
-    axis = (boxed if rows is None else rows).select(F.col(y).alias("row_y")).distinct()
+    # given rows take the type of the data, so that equal coordinates are equal keys
+    axis = (boxed if rows is None else rows).select(
+        F.col(y).cast(df.schema[y].dataType).alias("row_y")
+    ).distinct()
     spans = cell_spans(axis, edges, hx, hy, touches, extent.rows(hy), limit)
     if how != "inner":
         spans = spans.drop("area_id")

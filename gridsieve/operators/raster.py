@@ -40,52 +40,57 @@ def pixel_positions(
     )
 
 
-def crop_windows(tiles: DataFrame, boxes: DataFrame) -> DataFrame:
+def crop_windows(
+    tiles: DataFrame, boxes: DataFrame, limit: int = BROADCAST_ROW_LIMIT
+) -> DataFrame:
     """The part of each tile that covers an area's box, for tiles that overlap it.
 
     Adds ``area_id``, the first row and column, the new size and origin.  Tiles
     that only touch or miss the box have no row.  Tiles and boxes meet through
     lattice cells as large as the largest tile.
     """
-    right = F.col("x0") + F.col("width") * F.col("res_x")
-    bottom = F.col("y0") - F.col("height") * F.col("res_y")
-    size = tiles.agg(
-        F.max(F.greatest(F.col("width") * F.col("res_x"), F.col("height") * F.col("res_y"))).alias("s")
-    ).first()["s"]
-    if size is None:
-        size = 1.0
-
-    def lattice(df: DataFrame, x_low: Column, x_high: Column, y_low: Column, y_high: Column) -> DataFrame:
-        def cells(low: Column, high: Column) -> Column:
-            return F.explode(F.sequence(F.floor(low / F.lit(size)), F.floor(high / F.lit(size))))
-
-        return df.withColumn("gx", cells(x_low, x_high)).withColumn("gy", cells(y_low, y_high))
-
-    placed_tiles = lattice(tiles, F.col("x0"), right, bottom, F.col("y0"))
-    placed_boxes = lattice(boxes, F.col("xmin"), F.col("xmax"), F.col("ymin"), F.col("ymax"))
-    met = placed_tiles.join(placed_boxes, ["gx", "gy"]).where(
-        (F.col("xmax") > F.col("x0"))
-        & (F.col("xmin") < right)
-        & (F.col("ymax") > bottom)
-        & (F.col("ymin") < F.col("y0"))
-        # a pair is kept in the one lattice cell that holds its lower left corner
-        & (F.col("gx") == F.floor(F.greatest("x0", "xmin") / F.lit(size)))
-        & (F.col("gy") == F.floor(F.greatest(bottom, F.col("ymin")) / F.lit(size)))
+    known = tiles.agg(
+        F.expr("coalesce(max(greatest(width * res_x, height * res_y)), 1D) AS size"),
+        F.count("*").alias("n"),
+    ).first()
+
+    def cells(low: str, high: str) -> str:
+        return f"explode(sequence(floor({low} / {known['size']!r}D), floor({high} / {known['size']!r}D)))"
+
+    sided = tiles.selectExpr("*", "x0 + width * res_x AS x_right", "y0 - height * res_y AS y_bottom")
+    placed_tiles = sided.selectExpr("*", f"{cells('x0', 'x_right')} AS gx").selectExpr(
+        "*", f"{cells('y_bottom', 'y0')} AS gy"
+    )
+    placed_boxes = boxes.selectExpr("*", f"{cells('xmin', 'xmax')} AS gx").selectExpr(
+        "*", f"{cells('ymin', 'ymax')} AS gy"
+    )
+    overlap = "xmax > x0 AND xmin < x_right AND ymax > y_bottom AND ymin < y0"
+    # a pair counts in the one lattice cell that holds the lower left corner of its overlap
+    corner = (
+        f"gx = floor(greatest(x0, xmin) / {known['size']!r}D) "
+        f"AND gy = floor(greatest(y_bottom, ymin) / {known['size']!r}D)"
+    )
+    # a tile is no larger than a lattice cell, so it lies in at most four of them
+    met = lookup_join(
+        placed_boxes, placed_tiles, ["gx", "gy"], "inner", 4 * known["n"],
+        F.expr(f"{overlap} AND {corner}"), limit,
+    )
+    sized = met.selectExpr(
+        "*",
+        "greatest(floor((y0 - ymax) / res_y), 0L) AS row_off",
+        "greatest(floor((xmin - x0) / res_x), 0L) AS col_off",
+        "least(ceil((y0 - ymin) / res_y), CAST(height AS BIGINT)) AS row_stop",
+        "least(ceil((xmax - x0) / res_x), CAST(width AS BIGINT)) AS col_stop",
     )
-    zero = F.lit(0).cast("long")
-    col_start = F.greatest(F.floor((F.col("xmin") - F.col("x0")) / F.col("res_x")), zero)
-    col_stop = F.least(F.ceil((F.col("xmax") - F.col("x0")) / F.col("res_x")), F.col("width").cast("long"))
-    row_start = F.greatest(F.floor((F.col("y0") - F.col("ymax")) / F.col("res_y")), zero)
-    row_stop = F.least(F.ceil((F.col("y0") - F.col("ymin")) / F.col("res_y")), F.col("height").cast("long"))
-    return met.select(
+    return sized.selectExpr(
         "area_id",
-        *tiles.columns,
-        row_start.alias("row_off"),
-        col_start.alias("col_off"),
-        (row_stop - row_start).alias("new_height"),
-        (col_stop - col_start).alias("new_width"),
-        (F.col("x0") + col_start * F.col("res_x")).alias("new_x0"),
-        (F.col("y0") - row_start * F.col("res_y")).alias("new_y0"),
+        *[f"`{c}`" for c in tiles.columns],
+        "row_off",
+        "col_off",
+        "row_stop - row_off AS new_height",
+        "col_stop - col_off AS new_width",
+        "x0 + col_off * res_x AS new_x0",
+        "y0 - row_off * res_y AS new_y0",
     )
 
 

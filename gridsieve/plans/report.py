@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridsieve.functions.names import output_name, source_route, station_file
-from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join
+from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join, materialise
 
 STATUS = (
     "position INT, entry_id BIGINT, route STRING, status STRING, n_rows BIGINT, "
@@ -38,11 +38,12 @@ def run_report(
             source_route(F.col("ds_type"), F.col("path")) == "csv", station_file(F.col("path"))
         ).otherwise(output_name(F.col("variable_name"), F.col("entry_id"))).alias("name"),
     )
-    measured = stats.select(
-        F.col("entry_id").cast("long").alias("dataset_id"), "n_rows", "t_min", "t_max"
+    # one row per dataset; kept, because it is counted before it is joined
+    measured = materialise(
+        stats.select(F.col("entry_id").cast("long").alias("dataset_id"), "n_rows", "t_min", "t_max")
     )
     rows = lookup_join(wanted, entries, ["dataset_id"], "left_outer", known, limit=limit)
-    rows = lookup_join(rows, measured, ["dataset_id"], "left_outer", known, limit=limit)
+    rows = lookup_join(rows, measured, ["dataset_id"], "left_outer", measured.count(), limit=limit)
     readable = F.col("route").isin("sql", "csv", "grid", "raster")
     status = (
         F.when(F.col("found").isNull(), "missing")
