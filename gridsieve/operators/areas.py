@@ -16,6 +16,9 @@ FEATURE = (
     "geometry: STRUCT<type: STRING, coordinates: ARRAY<ARRAY<ARRAY<DOUBLE>>>>>"
 )
 
+# Features up to this size are a constant of the plan; more are spread over the tasks.
+_LITERAL_CHARS = 200_000
+
 
 def areas_from_features(spark: SparkSession, features: Iterable[tuple[object, dict]]) -> DataFrame:
     """``(area_id, feature)`` rows of GeoJSON features given with a request."""
@@ -26,11 +29,16 @@ def areas_from_features(spark: SparkSession, features: Iterable[tuple[object, di
             raise ValueError("a reference area must be one GeoJSON Feature with a Polygon geometry")
         documents.append({"area_id": area_id, "feature": feature})
     id_type = "BIGINT" if all(isinstance(d["area_id"], int) for d in documents) else "STRING"
-    schema = f"ARRAY<STRUCT<area_id: {id_type}, feature: {FEATURE}>>"
-    return (
-        spark.sql("SELECT :doc AS doc", args={"doc": json.dumps(documents)})
-        .select(F.inline(F.from_json("doc", schema)))
-    )
+    text = json.dumps(documents)
+    if len(text) <= _LITERAL_CHARS:
+        schema = f"ARRAY<STRUCT<area_id: {id_type}, feature: {FEATURE}>>"
+        return (
+            spark.sql("SELECT :doc AS doc", args={"doc": text})
+            .select(F.inline(F.from_json("doc", schema)))
+        )
+    rows = [(d["area_id"], json.dumps(d["feature"])) for d in documents]
+    spread = spark.createDataFrame(rows, f"area_id {id_type}, feature_text STRING")
+    return read_features(spread, "feature_text", "area_id")
 
 
 def read_features(df: DataFrame, text: str, area_id: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridsieve.operators.areas import Extent, measure
-from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join
+from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join, materialise
 
 # Cell rectangles are grown by a billionth, so that an edge that meets a cell only
 # at a corner or along its side counts as contact whatever the rounding.
@@ -225,7 +225,12 @@ def _clip_join(
         spans = merge_spans(spans.distinct(), ["row_y", "bucket"])
     keyed = boxed.select("*", F.col(y).alias("row_y"), F.floor(F.col(x) / F.lit(width)).alias("bucket"))
     inside = (F.col(x) >= F.col("lo")) & (F.col(x) <= F.col("hi") if touches else F.col(x) < F.col("hi"))
-    joined = lookup_join(keyed, spans, ["row_y", "bucket"], how, extent.spans, inside, limit)
+    n_spans = extent.spans
+    if n_spans > limit:
+        # the bound is a loose one for many small areas, so count before giving up broadcast
+        spans = materialise(spans)
+        n_spans = spans.count()
+    joined = lookup_join(keyed, spans, ["row_y", "bucket"], how, n_spans, inside, limit)
     return joined.drop("row_y", "bucket")
 
 
