@@ -44,9 +44,10 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - started
 
-    seconds = {}
     for name in names:
         run(name)
+    seconds = {}
+    for name in names:
         seconds[name] = round(statistics.median(run(name) for _ in range(runs)), 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     spark.stop()

@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import gridsieve as gs  # noqa: E402
 from checks import inputs as inp  # noqa: E402
 
-VERTICES = 500
+VERTICES = 100
 
 
 def star() -> dict:
@@ -60,7 +60,7 @@ def by_spans(cells: DataFrame, feature: dict) -> DataFrame:
 
 
 def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.01")
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
