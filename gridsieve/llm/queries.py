@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsieve.llm import chat, chunks, dac, pieces, simhash
+from gridsieve.llm import boilerplate, chat, chunks, dac, decontam, licenses, pieces, resample, simhash, surrogates
 
 # Two rows of every run of op9_chat besides the table: the escapes have to survive in both roles.
 _PROBE = r"\### Assistant: </turn> ok"
@@ -17,14 +17,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.anonymise(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.document_ids(dac.kept_files(table(spark, sf_dir, "documents")))
 
@@ -54,8 +74,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_decontamination": op2_decontamination,
+    "op3_quality": op3_quality,
     "op4_pieces": op4_pieces,
+    "op5_main_text": op5_main_text,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_surrogates": op7_surrogates,
     "op8_token_files": op8_token_files,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
