@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridsieve.llm import chunks, pieces, simhash
+from gridsieve.llm import chunks, decontam, pieces, resample, simhash
 from gridsieve.llm.common import keep, rows_where
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the importance resampling draws stay."""
+    return resample.drawn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays: that with the largest doc_id."""
     return rows_where(docs, chunks.exact_duplicates(docs).where("kept"), present=True, single=True)
@@ -22,14 +27,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows_where(docs, simhash.near_duplicates(docs).where("kept"), present=True, single=True)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return rows_where(docs, decontam.contaminated(docs, benchmark), present=False)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the token ids and of the decoded text of every document that is left."""
     return pieces.digests(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
     ("encode", encode),
 ]
 
