@@ -1,0 +1,63 @@
+"""The pipeline against plain Python over the same documents, and each stage on awkward rows."""
+
+import hashlib
+
+import corpus_pipeline
+import numpy as np
+import sentencepiece
+from cases import TEXTS, documents, nothing
+from test_dedup import plain_components
+
+from gridsieve.llm import decontam, pieces, resample, simhash
+from gridsieve.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_run(docs, kept_by_quality, items):
+    docs = [d for d in docs if d[0] in kept_by_quality]
+    last = {text: doc_id for doc_id, text in sorted(docs)}
+    docs = sorted((i, t) for t, i in last.items())
+    roots = plain_components(np.array([simhash.fingerprint(t) for _, t in docs], np.uint64))
+    docs = [d for k, d in enumerate(docs) if roots[k] == k]
+
+    def clean(text):
+        words = decontam.words_of(text.encode().lower())
+        for item in items:
+            for shift in range(-len(item), len(words)):
+                if decontam.best_overlap(item, words, shift):
+                    return False
+        return True
+
+    return [d for d in docs if clean(d[1])]
+
+
+def test_run_matches_plain_python(spark):
+    docs = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    scored = resample.resample(spark.read.parquet(f"{SF}/documents.parquet"), labels)
+    kept = {r["doc_id"] for r in scored.where("kept").collect()}
+    items = [decontam.words_of(r["text"].encode().lower()) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    expected = set()
+    for doc_id, text in plain_run(docs, kept, items):
+        ids = library.encode(text) + [2]
+        expected.add((doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()))
+    found = corpus_pipeline.run(spark, SF).collect()
+    assert {(r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in found} == expected
+    assert 0 < len(found) == len(expected) < len(docs)
+
+
+def test_stages_take_awkward_tables(spark):
+    for rows in (documents(spark), nothing(spark)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, rows, SF)
+            assert out.columns == rows.columns, name
+            assert out.count() <= rows.count()
+    once = dict(corpus_pipeline.STAGES)["exact_dedup"](spark, documents(spark), SF)
+    assert once.count() == len({t or "" for _, t in TEXTS})
+
+
+def test_names():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontaminate", "encode"]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
