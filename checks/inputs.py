@@ -220,6 +220,23 @@ def catchments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_feature(kind: Column) -> Column:
+    """Feature text by kind: one part, two parts, a point, no geometry, no JSON."""
+    square = "[[[{0}, 1], [{1}, 1], [{1}, 2], [{0}, 2], [{0}, 1]]]"
+
+    def text(geometry: str) -> str:
+        return '{"type": "Feature", "properties": {}, "geometry": ' + geometry + "}"
+
+    parts = f"[{square.format(0, 1)}, {square.format(5, 6)}]"
+    return (
+        F.when(kind == 0, text('{"type": "Polygon", "coordinates": ' + square.format(0, 1) + "}"))
+        .when(kind == 1, text('{"type": "MultiPolygon", "coordinates": ' + parts + "}"))
+        .when(kind == 2, text('{"type": "Point", "coordinates": [1, 2]}'))
+        .when(kind == 3, text("null"))
+        .otherwise('"none"')
+    )
+
+
 CATCHMENTS_SQL = """
 SELECT c_custkey AS catchment, c_name,
        cast(5 + (c_custkey % 40) * 0.25 AS double) AS x, cast(47 + (c_nationkey % 12) * 0.25 AS double) AS y

@@ -6,7 +6,6 @@ import math
 
 from checks import inputs as inp
 from checks.queries import GLOBS, TILE_KEY, YEAR_FILES
-from gridsieve.functions.projections import LCC_EUROPE, WGS84
 
 START, END = f"TIMESTAMP '{inp.START}'", f"TIMESTAMP '{inp.END}'"
 # half a cell, grown so that contact at a corner does not depend on rounding
@@ -211,24 +210,25 @@ SELECT NULL, NULL, time, v, x, y, 'no_crs' FROM ({inp.GRID_SQL})
 
 
 def _reproject_sql() -> str:
-    n, f, rho_0 = LCC_EUROPE.constants()
-    e = LCC_EUROPE._eccentricity()
-    a = LCC_EUROPE.ellipsoid[0]
+    # fixed values: EPSG:3034 on GRS 80 (parallels 35 and 65, origin 52 N 10 E), and the radius of WGS 84
+    n, f, rho_0 = 0.7753815998754331, 1.7493334756981185, 4901418.870196237
+    e, a = 0.08181919104281579, 6378137.0
+    lon_0, false_easting, false_northing, radius = 10.0, 4_000_000.0, 2_800_000.0, 6378137.0
 
     def mercator(lon: str, lat: str) -> tuple[str, str]:
         return (
-            f"{WGS84[0]}::double * radians({lon})",
-            f"{WGS84[0]}::double * ln(tan({math.pi / 4!r}::double + radians({lat}) / 2))",
+            f"{radius}::double * radians({lon})",
+            f"{radius}::double * ln(tan({math.pi / 4!r}::double + radians({lat}) / 2))",
         )
 
     def conic(lon: str, lat: str) -> tuple[str, str]:
         s = f"({e!r}::double * sin(radians({lat})))"
         t = f"(tan({math.pi / 4!r}::double - radians({lat}) / 2) / pow((1 - {s}) / (1 + {s}), {e / 2!r}::double))"
         rho = f"({a * f!r}::double * pow({t}, {n!r}::double))"
-        theta = f"({n!r}::double * radians({lon} - {LCC_EUROPE.lon_0}::double))"
+        theta = f"({n!r}::double * radians({lon} - {lon_0}::double))"
         return (
-            f"{LCC_EUROPE.false_easting}::double + {rho} * sin({theta})",
-            f"{LCC_EUROPE.false_northing + rho_0!r}::double - {rho} * cos({theta})",
+            f"{false_easting}::double + {rho} * sin({theta})",
+            f"{false_northing + rho_0!r}::double - {rho} * cos({theta})",
         )
 
     parts = []
@@ -363,7 +363,45 @@ SELECT request_id, position, dataset_id AS entry_id, route,
 FROM joined
 """
 
+def _bands_sql(one: str, columns: str) -> str:
+    """The rows of one band, and again as band 2 with doubled values but for the nodata mark."""
+    return f"""
+SELECT 1::int AS band, {columns}, value FROM ({one})
+UNION ALL
+SELECT 2::int, {columns}, CASE WHEN value = -9999.0 THEN value ELSE value * 2 END FROM ({one})
+"""
+
+
+CREATE_RECORDS = """
+WITH existing AS (
+  SELECT p_type AS name, min(p_name) AS title, min(p_size) AS size, min(p_retailprice) AS price
+  FROM part WHERE p_size % 5 = 0 GROUP BY 1),
+candidates AS (
+  SELECT p_type AS name, p_name AS title, p_size AS size, p_retailprice AS price FROM part
+  UNION ALL SELECT p_brand, p_name, p_size, p_retailprice FROM part)
+SELECT *, false AS created FROM existing
+UNION ALL
+SELECT name, title, size, price, true FROM candidates WHERE name NOT IN (SELECT name FROM existing)
+QUALIFY row_number() OVER (PARTITION BY name ORDER BY title, size, price) = 1
+"""
+
 ORACLES: dict[str, str] = {
+    "request_valid": """
+SELECT o_orderkey AS request_id, o_custkey % 3 <> 0 AND o_custkey % 7 <> 0 AND o_custkey % 5 < 2 AS valid FROM orders""",
+    "area_status": """
+SELECT c_custkey AS area_id,
+       ['ok', 'ok', 'refused: Point', 'unreadable', 'unreadable'][c_custkey % 5 + 1] AS status,
+       [1, 2, 0, 0, 0][c_custkey % 5 + 1]::int AS rings
+FROM customer""",
+    "area_parts": """
+SELECT c_custkey AS area_id, 4 * (1 + c_custkey % 5) AS n_edges, 0::double AS xmin, 1::double AS ymin,
+       CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 6 END::double AS xmax, 2::double AS ymax
+FROM customer WHERE c_custkey % 5 < 2""",
+    "request_fanout_ids": """
+SELECT c_custkey AS catchment, (SELECT count(*) FROM nation) AS n_ids,
+       (SELECT sum(n_nationkey * 7919) FROM nation)::bigint AS sum_ids
+FROM customer""",
+    "catalog_create_records": CREATE_RECORDS,
     "request_parse": REQUEST_PARSE,
     "catalog_lookup": f"SELECT request_id, position, dataset_id, title, variable_name, path "
     f"FROM ({inp.REQUESTED_SQL}) JOIN ({inp.CATALOG_SQL}) ON entry_id = dataset_id",
@@ -425,3 +463,8 @@ ORACLES: dict[str, str] = {
     "run_report_totals": f"SELECT status, count(*) AS datasets, coalesce(sum(n_rows), 0)::bigint AS n_rows "
     f"FROM ({REPORT}) GROUP BY status",
 }
+ORACLES |= {
+    "raster_mosaic_bands": _bands_sql(ORACLES["raster_mosaic"], "grow, gcol"),
+    "raster_crop_bands": _bands_sql(ORACLES["raster_crop"], 'area_id, tile_id, "row", col'),
+    "raster_mask_bands": _bands_sql(ORACLES["raster_mask"], 'area_id, tile_id, "row", col'),
+}

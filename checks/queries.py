@@ -11,6 +11,7 @@ import gridsieve as gs
 from checks import inputs as inp
 from gridsieve.functions import names
 from gridsieve.functions.timestamps import parse_time, utc_wall_clock
+from gridsieve.operators import areas
 from gridsieve.scale import materialise, scratch_dir
 from gridsieve.sinks import rawcopy, writers
 from gridsieve.sources import coverage
@@ -527,6 +528,78 @@ def run_report_totals(spark: SparkSession, sf: str) -> DataFrame:
     return gs.totals(run_report(spark, sf))
 
 
+# ---------------------------------------------------------------- areas of parts, bands, bad requests
+
+
+def request_valid(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests with unreadable bounds and areas of other kinds are kept and marked."""
+    documents = inp.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("request_id"),
+        F.concat(
+            F.lit('{"t": {"parameters": {"dataset_ids": [1], "reference_area": '),
+            inp.odd_feature(F.col("o_custkey") % 5),
+            F.when(F.col("o_custkey") % 3 == 0, ', "start_date": "2000-13-45"').otherwise(', "start_date": "2000-12-31"'),
+            F.when(F.col("o_custkey") % 7 == 0, ', "end_date": "soon"').otherwise(""),
+            F.lit("}}}"),
+        ).alias("doc"),
+    )
+    return gs.parse_requests(documents, "doc").select("request_id", "valid")
+
+
+def area_status(spark: SparkSession, sf: str) -> DataFrame:
+    texts = inp.table(spark, sf, "customer").select("c_custkey", inp.odd_feature(F.col("c_custkey") % 5).alias("text"))
+    return areas.area_status(gs.read_features(texts, "text", "c_custkey"))
+
+
+def area_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges and boxes of areas of one and of two parts; other geometries have none."""
+    texts = inp.table(spark, sf, "customer").select("c_custkey", inp.odd_feature(F.col("c_custkey") % 5).alias("text"))
+    edges = gs.area_edges(gs.read_features(texts, "text", "c_custkey"))
+    counted = edges.groupBy("area_id").agg(F.count("*").alias("n_edges"))
+    return counted.join(gs.area_boxes(edges), "area_id")
+
+
+def request_fanout_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Sparse ids far apart still make one request per catchment."""
+    ids = inp.table(spark, sf, "nation").select((F.col("n_nationkey").cast("long") * 7919).alias("entry_id"))
+    made = gs.fan_out(inp.catchments(spark, sf), "collection_text", "catchment", ids, 1995, 2001, "extractor")
+    parsed = gs.parse_requests(made.select("catchment", "request"), "request")
+    total = F.aggregate("dataset_ids", F.lit(0).cast("long"), lambda a, b: a + b)
+    return parsed.select("catchment", F.size("dataset_ids").cast("long").alias("n_ids"), total.alias("sum_ids"))
+
+
+def catalog_create_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Created records are whole candidates, not mixtures of several."""
+    part = inp.table(spark, sf, "part")
+    record = ["p_name AS title", "p_size AS size", "p_retailprice AS price"]
+    existing = part.where("p_size % 5 = 0").groupBy(F.col("p_type").alias("name")).agg(
+        F.min("p_name").alias("title"), F.min("p_size").alias("size"), F.min("p_retailprice").alias("price")
+    )
+    candidates = part.selectExpr("p_type AS name", *record).unionByName(part.selectExpr("p_brand AS name", *record))
+    return gs.find_or_create(existing, candidates, ["name"])
+
+
+def _two_bands(spark: SparkSession, sf: str) -> DataFrame:
+    one = inp.pixels(spark, sf)
+    doubled = F.when(F.col("value") == -9999.0, F.col("value")).otherwise(F.col("value") * 2)
+    return one.withColumn("band", F.lit(1)).unionByName(
+        one.withColumn("value", doubled).withColumn("band", F.lit(2))
+    )
+
+
+def raster_mosaic_bands(spark: SparkSession, sf: str) -> DataFrame:
+    return gs.raster_mosaic(_two_bands(spark, sf), inp.tiles(spark, sf), 8.0, 51.0, 0.0625)
+
+
+def raster_crop_bands(spark: SparkSession, sf: str) -> DataFrame:
+    return gs.raster_crop(_two_bands(spark, sf), _windows(spark, sf, inp.nation_edges(spark, sf)))
+
+
+def raster_mask_bands(spark: SparkSession, sf: str) -> DataFrame:
+    edges = inp.nation_edges(spark, sf)
+    return gs.raster_mask(_two_bands(spark, sf), _windows(spark, sf, edges), edges)
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -538,6 +611,8 @@ QUERIES: dict[str, Query] = {
         raster_mask, raster_mask_centre, raster_crop, raster_crop_window, raster_tile_skip,
         concat_files, sort_time, part_names, raster_mosaic, tile_extent, extent_wkt, sink_dispatch,
         output_name, csv_roundtrip, parquet_roundtrip, grid_write_ignore, metadata_json,
-        raw_copy_manifest, area_vertices, run_report, run_report_totals,
+        raw_copy_manifest, area_vertices, run_report, run_report_totals, request_valid, area_status,
+        area_parts, request_fanout_ids, catalog_create_records, raster_mosaic_bands, raster_crop_bands,
+        raster_mask_bands,
     )
 }

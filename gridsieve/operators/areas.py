@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsieve.functions.projections import LambertConformal, project
@@ -15,9 +15,30 @@ FEATURE = (
     "STRUCT<type: STRING, properties: MAP<STRING, STRING>, "
     "geometry: STRUCT<type: STRING, coordinates: ARRAY<ARRAY<ARRAY<DOUBLE>>>>>"
 )
+# the same with the coordinates of a geometry of several parts
+FEATURE_OF_PARTS = FEATURE.replace("ARRAY<ARRAY<ARRAY<DOUBLE>>>", "ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>")
+GEOMETRIES = ("Polygon", "MultiPolygon")
 
-# Features up to this size are a constant of the plan; more are spread over the tasks.
-_LITERAL_CHARS = 200_000
+
+def feature_of(text: Column) -> Column:
+    """A GeoJSON Feature; a MultiPolygon holds the rings of all its parts in one list.
+
+    The clip rules count crossings over all rings, so parts and holes need no telling apart.
+    """
+    whole, parts = F.from_json(text, FEATURE), F.from_json(text, FEATURE_OF_PARTS)
+    geometry = F.struct(
+        parts["geometry"]["type"].alias("type"),
+        F.flatten(parts["geometry"]["coordinates"]).alias("coordinates"),
+    )
+    joined = F.struct(parts["type"].alias("type"), parts["properties"].alias("properties"), geometry.alias("geometry"))
+    return F.when(parts["geometry"]["type"] == "MultiPolygon", joined).otherwise(whole)
+
+
+def is_area(feature: Column) -> Column:
+    """Whether a feature has a geometry that can clip."""
+    geometry = feature["geometry"]
+    usable = (feature["type"] == "Feature") & geometry["type"].isin(*GEOMETRIES) & geometry["coordinates"].isNotNull()
+    return F.coalesce(usable, F.lit(False))
 
 
 def areas_from_features(spark: SparkSession, features: Iterable[tuple[object, dict]]) -> DataFrame:
@@ -25,17 +46,10 @@ def areas_from_features(spark: SparkSession, features: Iterable[tuple[object, di
     documents = []
     for area_id, feature in features:
         geometry = (feature or {}).get("geometry") or {}
-        if feature.get("type") != "Feature" or geometry.get("type") != "Polygon":
-            raise ValueError("a reference area must be one GeoJSON Feature with a Polygon geometry")
+        if feature.get("type") != "Feature" or geometry.get("type") not in GEOMETRIES:
+            raise ValueError("a reference area must be one GeoJSON Feature with a Polygon or MultiPolygon geometry")
         documents.append({"area_id": area_id, "feature": feature})
     id_type = "BIGINT" if all(isinstance(d["area_id"], int) for d in documents) else "STRING"
-    text = json.dumps(documents)
-    if len(text) <= _LITERAL_CHARS:
-        schema = f"ARRAY<STRUCT<area_id: {id_type}, feature: {FEATURE}>>"
-        return (
-            spark.sql("SELECT :doc AS doc", args={"doc": text})
-            .select(F.inline(F.from_json("doc", schema)))
-        )
     rows = [(d["area_id"], json.dumps(d["feature"])) for d in documents]
     spread = spark.createDataFrame(rows, f"area_id {id_type}, feature_text STRING")
     return read_features(spread, "feature_text", "area_id")
@@ -44,10 +58,22 @@ def areas_from_features(spark: SparkSession, features: Iterable[tuple[object, di
 def read_features(df: DataFrame, text: str, area_id: str) -> DataFrame:
     """``(area_id, feature)`` rows from a column of GeoJSON Feature text."""
     # unfolding an array of one parses the text once, not once per use
-    parsed = F.struct(F.from_json(F.col(text), FEATURE).alias("feature"))
+    parsed = F.struct(feature_of(F.col(text)).alias("feature"))
     return df.select(F.col(area_id).alias("area_id"), F.inline(F.array(parsed)))
 
 
+def area_status(areas: DataFrame) -> DataFrame:
+    """``(area_id, status, rings)``: ``ok``, ``empty``, ``unreadable``, or the geometry refused."""
+    kind = F.col("feature.geometry.type")
+    rings = F.coalesce(F.size("feature.geometry.coordinates"), F.lit(0))
+    status = (
+        F.when(is_area(F.col("feature")), F.when(rings > 0, "ok").otherwise("empty"))
+        .when(kind.isNull() | kind.isin(*GEOMETRIES), "unreadable")
+        .otherwise(F.concat(F.lit("refused: "), kind))
+    )
+    return areas.select("area_id", status.alias("status"), rings.alias("rings"))
+
+
 # every ring of a polygon, closed if the input leaves it open
 _CLOSED = (
     "CASE WHEN points[0] = element_at(points, -1) THEN points "
@@ -64,7 +90,7 @@ _NEIGHBOURS = (
 
 def _rings(areas: DataFrame) -> DataFrame:
     return (
-        areas.where("feature.geometry.type = 'Polygon'")
+        areas.where(is_area(F.col("feature")))
         .selectExpr("area_id", "posexplode(feature.geometry.coordinates) AS (ring, points)")
         .where("size(points) > 0")
         .selectExpr("area_id", "ring", _CLOSED)

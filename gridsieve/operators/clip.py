@@ -79,7 +79,6 @@ def row_spans(
     bands it reaches, so the matches are about as many as the answer needs.
     ``n_rows`` bounds the number of rows.
     """
-    grow = F.lit(0.5 if touches else 0.0) * F.lit(band)
     # an edge reaches the rows whose cells it meets; the small pad covers rounding at
     # a band border, and the exact test follows
     grow = band / 2.0 if touches else 0.0
@@ -217,7 +216,10 @@ def _clip_join(
     axis = (boxed if rows is None else rows).select(
         F.col(y).cast(df.schema[y].dataType).alias("row_y")
     ).distinct()
-    spans = cell_spans(axis, edges, hx, hy, touches, extent.rows(hy), limit)
+    # scattered coordinates have more rows than a regular grid in the box, so they are counted
+    axis = materialise(axis)
+    n_rows = axis.count()
+    spans = cell_spans(axis, edges, hx, hy, touches, n_rows, limit)
     if how != "inner":
         spans = spans.drop("area_id")
     if how == "left_outer" and extent.areas > 1:
@@ -226,8 +228,8 @@ def _clip_join(
     keyed = boxed.select("*", F.col(y).alias("row_y"), F.floor(F.col(x) / F.lit(width)).alias("bucket"))
     inside = (F.col(x) >= F.col("lo")) & (F.col(x) <= F.col("hi") if touches else F.col(x) < F.col("hi"))
     n_spans = extent.spans
-    if n_spans > limit:
-        # the bound is a loose one for many small areas, so count before giving up broadcast
+    if n_spans > limit or n_rows > extent.rows(hy):
+        # the bound holds for a regular axis, and is loose for many small areas
         spans = materialise(spans)
         n_spans = spans.count()
     joined = lookup_join(keyed, spans, ["row_y", "bucket"], how, n_spans, inside, limit)
@@ -291,14 +293,31 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 LAT_LON_NAMES = (("latitudes", "longitudes"), ("latitude", "longitude"), ("lat", "lon"))
 
 
-def coordinate_names(columns: Sequence[str], crs: int | None) -> tuple[str, str, str]:
+# Names of columns along x, besides those of longitudes.
+X_NAMES = ("x", "lon", "longitude", "longitudes", "rlon", "easting", "projection_x_coordinate")
+
+
+def coordinate_names(
+    columns: Sequence[str], crs: int | None, space: Sequence[str] | None = None
+) -> tuple[str, str, str]:
     """Names of the x and y columns, and a status.
 
-    With a known system they are ``x`` and ``y`` (status ``ok``).  Without one a
-    latitude/longitude pair is taken as EPSG:4326 (status ``assumed_4326``); with
-    no such pair the data must be left unclipped (status ``no_crs``).
+    With a known system they are ``x`` and ``y``, else the two columns that the catalog
+    names as ``space`` (by known names, else x first), else a latitude/longitude pair
+    (status ``ok``).  Without a system a latitude/longitude pair is taken as EPSG:4326
+    (status ``assumed_4326``); with no such pair the data must be left unclipped
+    (status ``no_crs``).
     """
     if crs is not None:
+        named = [c for c in dict.fromkeys(space or ()) if c in columns]
+        if "x" in columns and "y" in columns:
+            return "x", "y", "ok"
+        if len(named) == 2:
+            x, y = named if named[1].lower() not in X_NAMES else named[::-1]
+            return x, y, "ok"
+        for lat, lon in LAT_LON_NAMES:
+            if lat in columns and lon in columns:
+                return lon, lat, "ok"
         return "x", "y", "ok"
     for lat, lon in LAT_LON_NAMES:
         if lat in columns and lon in columns:

@@ -1,7 +1,8 @@
 """Raster tiles as pixel rows: positions, skip, crop, mask, mosaic, extent.
 
 A tile table has ``tile_id, x0, y0, res_x, res_y, width, height, nodata`` with the
-origin at the upper left corner.  A pixel table has ``tile_id, row, col, value``.
+origin at the upper left corner.  A pixel table has ``tile_id, row, col, value`` and, for
+several bands, ``band``; a band is carried through every operator.
 """
 
 from __future__ import annotations
@@ -94,6 +95,20 @@ def crop_windows(
     )
 
 
+def cropped_tiles(windows: DataFrame) -> DataFrame:
+    """Tile table of cropped pixels, whose rows and columns count from the corner of the crop."""
+    return windows.select(
+        "tile_id",
+        F.col("new_x0").alias("x0"),
+        F.col("new_y0").alias("y0"),
+        "res_x",
+        "res_y",
+        F.col("new_width").alias("width"),
+        F.col("new_height").alias("height"),
+        F.coalesce("nodata", F.lit(DEFAULT_NODATA)).alias("nodata"),
+    )
+
+
 def skip_tiles(tiles: DataFrame, boxes: DataFrame) -> DataFrame:
     """Tiles that overlap the box of an area, once per area."""
     return crop_windows(tiles, boxes).select("area_id", *tiles.columns)
@@ -142,6 +157,10 @@ def _in_windows(pixels: DataFrame, windows: DataFrame, limit: int) -> DataFrame:
     return lookup_join(keyed, listed, keys, "inner", bound, inside, limit).drop(*keys[1:])
 
 
+def _bands(pixels: DataFrame) -> list[str]:
+    return ["band"] if "band" in pixels.columns else []
+
+
 def _from_corner() -> list[Column]:
     return [
         (F.col("row") - F.col("row_off")).cast("long").alias("row"),
@@ -154,7 +173,7 @@ def raster_crop(
 ) -> DataFrame:
     """Pixels of each crop window, with rows and columns counted from its corner."""
     joined = _in_windows(pixels, windows.select("tile_id", "area_id", *_WINDOW), limit)
-    return joined.select("area_id", "tile_id", *_from_corner(), "value")
+    return joined.select("area_id", "tile_id", *_bands(pixels), *_from_corner(), "value")
 
 
 def raster_mask(
@@ -201,6 +220,7 @@ def raster_mask(
     return marked.select(
         "area_id",
         "tile_id",
+        *_bands(pixels),
         *_from_corner(),
         F.when(F.col("lo").isNotNull(), F.col("value")).otherwise(F.col("fill")).alias("value"),
     )
@@ -216,7 +236,7 @@ def raster_mosaic(
 ) -> DataFrame:
     """Nearest-neighbour mosaic on a target lattice with its corner at ``x0, y0``.
 
-    Where several valid pixels fall on one target cell the nearest centre wins,
+    Where several valid pixels of a band fall on one target cell the nearest centre wins,
     then the lowest tile id, then the lowest row and column.
     """
     described = tiles.select(
@@ -225,7 +245,9 @@ def raster_mosaic(
     placed = lookup_join(pixels, described, ["tile_id"], "inner", tiles.count(), limit=limit)
     valid = placed.where(F.col("value").isNotNull() & (F.col("value") != F.col("fill")))
     x, y = pixel_x(F.col("col")), pixel_y(F.col("row"))
+    bands = _bands(pixels)
     spot = valid.select(
+        *bands,
         "tile_id",
         "row",
         "col",
@@ -238,7 +260,7 @@ def raster_mosaic(
     dx = F.col("x") - (F.lit(x0) + (F.col("gcol") + 0.5) * F.lit(res))
     dy = F.col("y") - (F.lit(y0) - (F.col("grow") + 0.5) * F.lit(res))
     precedence = F.struct((dx * dx + dy * dy).alias("d"), "tile_id", "row", "col")
-    return spot.groupBy("grow", "gcol").agg(F.min_by("value", precedence).alias("value"))
+    return spot.groupBy(*bands, "grow", "gcol").agg(F.min_by("value", precedence).alias("value"))
 
 
 def tile_extent(tiles: DataFrame) -> DataFrame:

@@ -27,14 +27,16 @@ SALT_SLICES = 16
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, a laptop) a temporary folder is
-    made and set as the checkpoint folder of the session.
+    Only a local session (tests, a laptop) that names none gets a temporary folder, set as
+    its checkpoint folder; executors of a cluster could not read it, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not root:
         root = context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="gridsieve-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
@@ -104,9 +106,15 @@ def number_in_order(
         *group, "__slot", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift")
     )
     local = Window.partitionBy(*group, "__slot").orderBy(*order)
+    # a null group is a group as well
+    keys = [*group, "__slot"]
+    renamed = shift.withColumnsRenamed({k: f"__of_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
     return (
         placed.withColumn("__local", F.row_number().over(local))
-        .join(shift, [*group, "__slot"])
+        .join(renamed, same)
         .withColumn(name, (F.col("__local") + F.col("__shift")).cast("long"))
-        .drop("__slot", "__local", "__shift")
+        .drop("__slot", "__local", "__shift", *[f"__of_{k}" for k in keys])
     )

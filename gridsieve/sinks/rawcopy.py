@@ -26,7 +26,8 @@ def raw_copy(files: DataFrame, target: str, relative: str = "name") -> DataFrame
 
     Files are spread over the tasks and streamed block by block, so their size
     does not matter.  A copy is written under a name of its own and then moved, so a
-    repeated task leaves one whole file.  The result must be acted on once.
+    repeated task leaves one whole file.  The result must be acted on once.  Files that would
+    share a target are an error; ``relative`` then has to name a longer path.
     """
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -52,4 +53,7 @@ def raw_copy(files: DataFrame, target: str, relative: str = "name") -> DataFrame
             yield pd.DataFrame(rows, columns=["path", "target", "length", "sha256"])
 
     spread = files.select("path", F.col(relative).alias("inner"))
+    clash = spread.groupBy("inner").agg(F.countDistinct("path").alias("n")).where("n > 1").first()
+    if clash is not None:
+        raise ValueError(f"{clash['n']} files would be copied to {clash['inner']}")
     return spread.mapInPandas(copy, "path STRING, target STRING, length BIGINT, sha256 STRING")

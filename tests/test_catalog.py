@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import gridsieve as gs
+from gridsieve.operators.areas import area_status
 from gridsieve.functions import names
 from gridsieve.sinks import writers
 
@@ -112,7 +113,7 @@ def collection(x):
     return json.dumps({"type": "FeatureCollection", "features": [feature]})
 
 
-def test_fan_out_splits_long_id_lists_and_loses_none(spark):
+def test_fan_out_makes_one_request_with_all_ids(spark):
     files = spark.createDataFrame([("c1", collection(1.0)), ("c2", collection(2.0))], "catchment STRING, doc STRING")
     ids = spark.range(25).select(F.col("id").alias("entry_id"))
     one = gs.fan_out(files, "doc", "catchment", ids, 2000, 2010, "extractor").collect()
@@ -121,9 +122,10 @@ def test_fan_out_splits_long_id_lists_and_loses_none(spark):
     assert request["dataset_ids"] == list(range(25))
     assert request["start_date"] == "2000-01-01T12:00:00+01"
     assert request["end_date"] == "2010-12-31T12:00:00+01"
-    split = gs.fan_out(files, "doc", "catchment", ids, 2000, 2010, "extractor", ids_per_request=10)
-    found = split.select("catchment", F.explode("dataset_ids").alias("id"))
-    assert split.count() == 6 and found.distinct().count() == found.count() == 50
+    sparse = [3, 9_999, 10_000, 30_000, 10**15]
+    wide = spark.createDataFrame([(i,) for i in sparse], "entry_id BIGINT")
+    made = gs.fan_out(files, "doc", "catchment", wide, 2000, 2010, "extractor").collect()
+    assert [r["dataset_ids"] for r in made] == [sparse, sparse]
     none = gs.fan_out(files, "doc", "catchment", ids.where("entry_id < 0"), 2000, 2010, "extractor").collect()
     assert [r["dataset_ids"] for r in none] == [[], []]
 
@@ -173,3 +175,56 @@ def test_part_names(spark):
         (3, "c", "air_temp_3_part_2"),
         (4, "a", "air_temp_4_part_1"),
     }
+
+
+def test_unreadable_bounds_and_areas_make_a_request_invalid(spark):
+    def document(**more):
+        return json.dumps({"t": {"parameters": {"dataset_ids": [1], **more}}})
+
+    area = {"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}}
+    cases = [
+        (1, document(), True),
+        (2, document(start_date="2000-13-45"), False),
+        (3, document(end_date="soon"), False),
+        (4, document(start_date="2000-01-01", reference_area=area), True),
+        (5, document(reference_area={"type": "Feature", "geometry": {"type": "Point", "coordinates": [1, 2]}}), False),
+        (6, document(reference_area="here"), False),
+    ]
+    data = spark.createDataFrame([(i, d) for i, d, _ in cases], "id INT, doc STRING")
+    found = {r["id"]: r["valid"] for r in gs.parse_requests(data, "doc").collect()}
+    assert found == {i: valid for i, _, valid in cases}
+
+
+def test_areas_of_several_parts(spark):
+    def square(x):
+        return [[[x, 0.0], [x + 1, 0.0], [x + 1, 1.0], [x, 1.0], [x, 0.0]]]
+
+    features = [
+        ("one", {"type": "Feature", "properties": {}, "geometry": {"type": "Polygon", "coordinates": square(0.0)}}),
+        ("two", {"type": "Feature", "properties": {}, "geometry": {"type": "MultiPolygon", "coordinates": [square(0.0), square(5.0)]}}),
+        ("point", {"type": "Feature", "properties": {}, "geometry": {"type": "Point", "coordinates": [1.0, 2.0]}}),
+        ("none", {"type": "Feature", "properties": {}, "geometry": None}),
+    ]
+    texts = spark.createDataFrame([(i, json.dumps(f)) for i, f in features] + [("bad", "{")], "id STRING, doc STRING")
+    areas = gs.read_features(texts, "doc", "id")
+    edges = {r["area_id"]: r["n"] for r in gs.area_edges(areas).groupBy("area_id").agg(F.count("*").alias("n")).collect()}
+    assert edges == {"one": 4, "two": 8}
+    status = {r["area_id"]: r["status"] for r in area_status(areas).collect()}
+    assert status == {"one": "ok", "two": "ok", "point": "refused: Point", "none": "unreadable", "bad": "unreadable"}
+    whole = gs.fan_out(
+        spark.createDataFrame([("c", json.dumps({"features": [features[1][1]]}))], "catchment STRING, doc STRING"),
+        "doc", "catchment", spark.range(1).select(F.col("id").alias("entry_id")), 2000, 2001, "t",
+    )
+    request = whole.first()["request"]
+    assert json.loads(request)["t"]["parameters"]["reference_area"]["geometry"] == features[1][1]["geometry"]
+    again = gs.parse_requests(whole.select("request"), "request").first()
+    assert again["valid"] and len(again["reference_area"]["geometry"]["coordinates"]) == 2
+
+
+def test_a_created_record_is_one_candidate(spark):
+    schema = "k STRING, a STRING, b INT, c INT"
+    known = spark.createDataFrame([("old", "x", 1, 1)], schema)
+    new = spark.createDataFrame([("n", "a", 9, 1), ("n", "b", 1, 0), ("n", None, 5, 5), ("old", "y", 2, 2)], schema)
+    rows = gs.find_or_create(known, new, ["k"]).collect()
+    assert sorted((r["k"], r["a"], r["b"], r["c"], r["created"]) for r in rows if r["k"] == "old") == [("old", "x", 1, 1, False)]
+    assert [(r["a"], r["b"], r["c"], r["created"]) for r in rows if r["k"] == "n"] == [(None, 5, 5, True)]

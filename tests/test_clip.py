@@ -237,3 +237,17 @@ def test_lambert_conformal_against_a_published_example(spark):
     row = spark.range(1).select(x.alias("x"), y.alias("y")).first()
     assert row["x"] == pytest.approx(2963503.91, abs=0.02)
     assert row["y"] == pytest.approx(254759.80, abs=0.02)
+
+
+def test_scattered_rows_are_counted_before_a_broadcast(spark):
+    cells = spark.range(20_000).select(
+        (F.rand(1) * 10).alias("x"), (F.rand(2) * 10).alias("y"), F.col("id").alias("v")
+    ).checkpoint()
+    edges = edges_of(spark, polygon(square(2.0, 2.0, 3.0, 3.0)))
+    broadcast = gs.polygon_clip(cells, edges, 1.0, False)
+    shuffled = gs.polygon_clip(cells, edges, 1.0, False, limit=100)
+    # the axis alone has more rows than the limit
+    assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+    expected = {r["v"] for r in cells.where("x >= 2 and x < 5 and y > 2 and y <= 5").collect()}
+    assert {r["v"] for r in shuffled.collect()} == {r["v"] for r in broadcast.collect()}
+    assert len({r["v"] for r in broadcast.collect()} ^ expected) <= 4

@@ -125,3 +125,22 @@ def test_extent_and_its_text(spark, four):
     text = gs.extent_wkt(extent).first()
     assert text["extent"] == "POLYGON((0.0 0.0, 16.0 0.0, 16.0 16.0, 0.0 16.0, 0.0 0.0))"
     assert text["location"] == "POINT (8.0 8.0)"
+
+
+def test_bands_stay_apart(spark, four):
+    plain = pixels_of(spark, four)
+    bands = plain.withColumn("band", F.lit(1)).unionByName(
+        plain.withColumn("band", F.lit(2)).withColumn("value", F.col("value") + 0.5)
+    )
+    edges = edges_of(spark, polygon(square(6.5, 2.25, 4.0, 3.0)))
+    windows = windows_of(four, edges)
+    for frame in (gs.raster_crop, lambda p, w: gs.raster_mask(p, w, edges)):
+        one = {tuple(r) for r in frame(plain, windows).select("area_id", "tile_id", "row", "col", "value").collect()}
+        two = frame(bands, windows)
+        assert two.where("band = 1").count() == two.where("band = 2").count() == len(one)
+        assert {tuple(r) for r in two.where("band = 1").select("area_id", "tile_id", "row", "col", "value").collect()} == one
+    once = gs.raster_mosaic(plain, four, 0.0, 16.0, 1.0)
+    both = gs.raster_mosaic(bands, four, 0.0, 16.0, 1.0)
+    assert both.where("band = 1").drop("band").exceptAll(once).count() == 0
+    assert both.where("band = 2").select("grow", "gcol", (F.col("value") - 0.5).alias("value")).exceptAll(once).count() == 0
+    assert both.count() == 2 * once.count()
