@@ -40,7 +40,7 @@ SPAN = 12
 #: 1 marks a position that has to agree.
 MASKS = ("110110111011", "101101101101", "111010011011", "111111000111")
 LEAST_WORDS, MIN_WORDS, PENALTY = 5, 13, 3
-BLOOM_MOST_BITS, BLOOM_LEAST_BITS = 27, 16
+BLOOM_MOST_BITS, BLOOM_LEAST_BITS, BLOOM_BITS_PER_SEED = 27, 16, 128
 
 _CLASSES = byte_classes(WORD_BYTES)
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -124,7 +124,7 @@ def seeds_of(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
 
 def bloom_of(seeds: DataFrame) -> Bloom:
     """The filter, put together on Spark; at most 2**BLOOM_MOST_BITS bits reach the driver."""
-    bits = min(BLOOM_MOST_BITS, max(BLOOM_LEAST_BITS, int(16 * seeds.count() + 1).bit_length()))
+    bits = min(BLOOM_MOST_BITS, max(BLOOM_LEAST_BITS, (BLOOM_BITS_PER_SEED * seeds.count() + 1).bit_length()))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
