@@ -10,7 +10,7 @@ ascending doc_id order over all shards (a shard is what one task wrote).  Spark
 the table, so files can lie in any store, and a lost task is written again.
 
 Defined results: null text counts as empty, its only id is the end id; rows are ordered by
-doc_id, nulls first, then text; repeated rows are written each; extra columns are ignored; an
+doc_id, nulls first, then a hash of the text; repeated rows are written each; extra columns are ignored; an
 empty table gives an empty file table.
 """
 
@@ -135,7 +135,9 @@ def encode_files(
     """The segments of a file table for ``docs`` (doc_id, text); see ``SCHEMA``."""
     path, ranks_path = files or default_files()
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = read.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # Spark samples the keys of a range partitioning on the driver, so no text is a key.
+    tie = F.xxhash64("text")
+    ordered = read.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = text_encoder(path, ranks_path)
