@@ -19,6 +19,7 @@ _WITH_OFFSET = r"[T ]\d{1,2}(:\d{2}){0,2}(\.\d+)?\s*(Z|[+-]\d{2}(:?\d{2})?)\s*$"
 _NO_SECONDS = r"([T ]\d{1,2}:\d{2})\s*(Z|[+-]\d{2}(?::?\d{2})?)\s*$"
 _COMPACT = r"^\s*(\d{4})(\d{2})(\d{2})(?:T?(\d{2})(\d{2})(\d{2})?)?\s*\z"
 _MONTH_FIRST = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(?:[T ]+(\S+))?\s*\z"
+_DAY_FIRST = r"^\s*(\d{1,2})[./-](\d{1,2})[./-](\d{4})(?:[T ]+(\S+))?\s*\z"
 
 
 def utc_wall_clock(text: Column) -> Column:
@@ -34,15 +35,19 @@ def utc_wall_clock(text: Column) -> Column:
     ).otherwise(text.try_cast("timestamp_ntz"))
 
 
-def parse_time(text: Column) -> Column:
-    """Time column of a text file: ISO, ``yyyyMMdd[HHmm[ss]]`` or month-first dates."""
+def parse_time(text: Column, day_first: bool = False) -> Column:
+    """Time column of a text file: ISO, ``yyyyMMdd[HHmm[ss]]`` or month-first dates.
+
+    With ``day_first``, dates with the day in front (``13.01.2000``, ``13/01/2000``) instead.
+    """
     compact = F.regexp_replace(
         F.regexp_replace(text, _COMPACT, "$1-$2-$3 $4:$5:$6"), r"[ :]+\z", ""
     )
-    month_first = F.trim(F.regexp_replace(text, _MONTH_FIRST, "$3-$1-$2 $4"))
+    pattern, order = (_DAY_FIRST, "$3-$2-$1 $4") if day_first else (_MONTH_FIRST, "$3-$1-$2 $4")
+    spelled = F.trim(F.regexp_replace(text, pattern, order))
     return (
         F.when(text.rlike(_COMPACT), compact.try_cast("timestamp_ntz"))
-        .when(text.rlike(_MONTH_FIRST), month_first.try_cast("timestamp_ntz"))
+        .when(text.rlike(pattern), spelled.try_cast("timestamp_ntz"))
         .otherwise(utc_wall_clock(text))
     )
 

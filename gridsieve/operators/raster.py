@@ -117,7 +117,7 @@ def skip_tiles(tiles: DataFrame, boxes: DataFrame) -> DataFrame:
 _WINDOW = ("row_off", "col_off", "new_height", "new_width", "new_x0", "new_y0")
 
 
-def _in_windows(pixels: DataFrame, windows: DataFrame, limit: int) -> DataFrame:
+def _in_windows(pixels: DataFrame, windows: DataFrame, limit: int, how: str = "inner") -> DataFrame:
     """Pixels paired with the crop windows that hold them.
 
     Windows are listed per square block of pixels, so a pixel is tested against
@@ -154,7 +154,7 @@ def _in_windows(pixels: DataFrame, windows: DataFrame, limit: int) -> DataFrame:
         "block_col", F.floor(F.col("col") / block)
     )
     keys = ["tile_id", "block_row", "block_col"]
-    return lookup_join(keyed, listed, keys, "inner", bound, inside, limit).drop(*keys[1:])
+    return lookup_join(keyed, listed, keys, how, bound, inside, limit).drop(*keys[1:])
 
 
 def _bands(pixels: DataFrame) -> list[str]:
@@ -238,29 +238,71 @@ def raster_mosaic(
 
     Where several valid pixels of a band fall on one target cell the nearest centre wins,
     then the lowest tile id, then the lowest row and column.
+
+    Only pixels that may share a cell are grouped: those near another tile, and those of
+    tiles finer than the lattice.  All others are alone in their cell and pass through
+    without a shuffle.
     """
+    count = tiles.count()
     described = tiles.select(
         "tile_id", *_GEOMETRY, F.coalesce(F.col("nodata"), F.lit(DEFAULT_NODATA)).alias("fill")
     )
-    placed = lookup_join(pixels, described, ["tile_id"], "inner", tiles.count(), limit=limit)
-    valid = placed.where(F.col("value").isNotNull() & (F.col("value") != F.col("fill")))
-    x, y = pixel_x(F.col("col")), pixel_y(F.col("row"))
     bands = _bands(pixels)
-    spot = valid.select(
-        *bands,
-        "tile_id",
-        "row",
-        "col",
-        "value",
-        x.alias("x"),
-        y.alias("y"),
-        F.floor((F.lit(y0) - y) / F.lit(res)).alias("grow"),
-        F.floor((x - F.lit(x0)) / F.lit(res)).alias("gcol"),
-    )
+
+    def placed(part: DataFrame) -> DataFrame:
+        """Valid pixels with their target cell."""
+        joined = lookup_join(part, described, ["tile_id"], "inner", count, limit=limit)
+        valid = joined.where(F.col("value").isNotNull() & (F.col("value") != F.col("fill")))
+        x, y = pixel_x(F.col("col")), pixel_y(F.col("row"))
+        grow, gcol = F.floor((F.lit(y0) - y) / F.lit(res)), F.floor((x - F.lit(x0)) / F.lit(res))
+        return valid.select(
+            *bands, "tile_id", "row", "col", "value", x.alias("x"), y.alias("y"), grow.alias("grow"), gcol.alias("gcol")
+        )
+
+    shared = materialise(_shared_windows(tiles, x0, y0, res, limit))
+    contested = placed(_in_windows(pixels, shared, limit, "left_semi"))
+    clear = placed(_in_windows(pixels, shared, limit, "left_anti"))
     dx = F.col("x") - (F.lit(x0) + (F.col("gcol") + 0.5) * F.lit(res))
     dy = F.col("y") - (F.lit(y0) - (F.col("grow") + 0.5) * F.lit(res))
     precedence = F.struct((dx * dx + dy * dy).alias("d"), "tile_id", "row", "col")
-    return spot.groupBy(*bands, "grow", "gcol").agg(F.min_by("value", precedence).alias("value"))
+    won = contested.groupBy(*bands, "grow", "gcol").agg(F.min_by("value", precedence).alias("value"))
+    return won.unionByName(clear.select(*bands, "grow", "gcol", "value"))
+
+
+def _shared_windows(tiles: DataFrame, x0: float, y0: float, res: float, limit: int) -> DataFrame:
+    """Windows of tiles whose pixels may share a cell of the lattice with others.
+
+    A tile shares cells with each tile that comes within one cell of it, and with itself
+    if its pixels are finer than the lattice or lie on its borders.
+    """
+    x0, y0, res = float(x0), float(y0), float(res)
+    reach = tiles.selectExpr(
+        "tile_id AS area_id",
+        f"x0 - {res!r}D AS xmin", f"y0 - height * res_y - {res!r}D AS ymin",
+        f"x0 + width * res_x + {res!r}D AS xmax", f"y0 + {res!r}D AS ymax",
+    )
+
+    def alone(size: str, phase: str) -> str:
+        """Neighbouring centres are more than a cell apart, or a cell apart and not on its borders."""
+        return (
+            f"({size} > {res * (1 + 1e-6)!r}D OR ({size} = {res!r}D AND "
+            f"({phase}) - floor({phase}) BETWEEN 0.001D AND 0.999D))"
+        )
+
+    phases = f"(x0 + res_x / 2 - {x0!r}D) / {res!r}D", f"({y0!r}D - y0 + res_y / 2) / {res!r}D"
+    apart = F.expr(f"{alone('res_x', phases[0])} AND {alone('res_y', phases[1])}")
+    met = crop_windows(tiles, reach, limit).where((F.col("area_id") != F.col("tile_id")) | ~apart)
+    # a pixel more on each side makes up for rounding at a border
+    return met.select(
+        "tile_id",
+        "area_id",
+        F.greatest(F.col("row_off") - 1, F.lit(0)).alias("row_off"),
+        F.greatest(F.col("col_off") - 1, F.lit(0)).alias("col_off"),
+        (F.col("new_height") + 2).alias("new_height"),
+        (F.col("new_width") + 2).alias("new_width"),
+        "new_x0",
+        "new_y0",
+    )
 
 
 def tile_extent(tiles: DataFrame) -> DataFrame:

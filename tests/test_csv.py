@@ -130,8 +130,10 @@ def test_unreadable_times_fail_the_entry(spark, tmp_path):
 
 
 def test_unsupported_arguments_are_named():
-    with pytest.raises(UnsupportedArgument, match="'dayfirst'"):
-        ReaderArgs.from_catalog({"dayfirst": "true"})
+    with pytest.raises(UnsupportedArgument, match="'thousands'"):
+        ReaderArgs.from_catalog({"thousands": ","})
+    with pytest.raises(UnsupportedArgument, match="separator"):
+        ReaderArgs.from_catalog({"sep": "[;,]"})
     assert ReaderArgs.from_catalog(None).na_values == MISSING_TEXTS
     assert ReaderArgs.from_catalog({"delimiter": "\t"}).sep == "\t"
 
@@ -178,3 +180,22 @@ def test_raw_copies(spark, tmp_path):
         assert (tmp_path / "out" / "raw" / name).read_bytes() == data
         assert found[name] == (len(data), hashlib.sha256(data).hexdigest())
     assert sorted(p.name for p in (tmp_path / "out" / "raw").iterdir()) == ["a.bin", "b.bin"]
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    path = put(
+        tmp_path / "d",
+        a__csv='t,name,q\n2000-01-01,"a\nb",1\n2000-01-02,c,2\n',
+        b__csv="t,name,q\n2000-01-03,12F,3\n",
+    )
+    data, files = gs.scan_csv(spark, path, ["t", "name", "q"], "t")
+    assert dict(data.dtypes)["q"] == "bigint"
+    assert rows(data) == [(datetime(2000, 1, 1), "a\nb", 1), (datetime(2000, 1, 2), "c", 2), (datetime(2000, 1, 3), "12F", 3)]
+    assert status(files) == {"a.csv": ("read", "read with line breaks inside quotes"), "b.csv": ("read", None)}
+
+
+def test_fields_parted_by_spaces_and_day_first_dates(spark, tmp_path):
+    path = put(tmp_path / "d", a__txt="  date   q \n13.01.2000\t1.5\n 02.01.2000   2\n")
+    data, files = gs.scan_csv(spark, path, ["date", "q"], "date", {"sep": r"\s+", "dayfirst": "True"})
+    assert set(rows(data)) == {(datetime(2000, 1, 2), 2.0), (datetime(2000, 1, 13), 1.5)}
+    assert status(files) == {"a.txt": ("read", None)}

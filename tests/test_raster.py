@@ -144,3 +144,26 @@ def test_bands_stay_apart(spark, four):
     assert both.where("band = 1").drop("band").exceptAll(once).count() == 0
     assert both.where("band = 2").select("grow", "gcol", (F.col("value") - 0.5).alias("value")).exceptAll(once).count() == 0
     assert both.count() == 2 * once.count()
+
+
+@pytest.mark.parametrize("x0, res", [(0.0, 1.0), (0.5, 1.0), (0.25, 0.7), (0.1, 0.1), (-3.3, 2.5)])
+def test_mosaic_groups_whatever_may_share_a_cell(spark, x0, res):
+    import math
+
+    tiles = tiles_of(
+        spark,
+        (1, 0.0, 4.0, 1.0, 1.0, 4, 4, None), (2, 4.0, 4.0, 1.0, 1.0, 4, 4, None), (3, 20.0, 4.0, 1.0, 1.0, 4, 4, None),
+        (4, 3.5, 3.5, 0.5, 0.5, 8, 6, None), (5, 40.0, 4.0, 0.1, 0.1, 20, 20, None),
+    )
+    pixels = pixels_of(spark, tiles)
+    shape = {t["tile_id"]: t for t in tiles.collect()}
+    best = {}
+    for p in pixels.collect():
+        t = shape[p["tile_id"]]
+        x, y = t["x0"] + (p["col"] + 0.5) * t["res_x"], t["y0"] - (p["row"] + 0.5) * t["res_y"]
+        cell = math.floor((16.0 - y) / res), math.floor((x - x0) / res)
+        far = (x - (x0 + (cell[1] + 0.5) * res)) ** 2 + (y - (16.0 - (cell[0] + 0.5) * res)) ** 2
+        best.setdefault(cell, []).append((far, p["tile_id"], p["row"], p["col"], p["value"]))
+    found = gs.raster_mosaic(pixels, tiles, x0, 16.0, res).collect()
+    assert len(found) == len(best)
+    assert {(r["grow"], r["gcol"]): r["value"] for r in found} == {c: min(v)[4] for c, v in best.items()}
