@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridsieve.llm.common import keep, text_or_empty
+from gridsieve.llm.common import keep, keep_for_join, text_or_empty
 
 MIN_CHARS, MAX_CHARS = 512, 4096
 CHUNK = rf"(?s).{{{MIN_CHARS},{MAX_CHARS}}}?(?<=[aeious]\s)|.{{1,{MAX_CHARS}}}"
@@ -72,8 +72,10 @@ def recipes(docs: DataFrame, digests: tuple[Digest, ...] = DIGESTS) -> DataFrame
 def exact_duplicates(docs: DataFrame, digests: tuple[Digest, ...] = DIGESTS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs`` (doc_id, text)."""
     rows = recipes(docs, digests)
-    groups = rows.groupBy(F.col("recipe").alias("same")).agg(
-        F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")
+    groups = keep_for_join(
+        rows.groupBy(F.col("recipe").alias("same")).agg(
+            F.max(F.struct("doc_id", "row")).alias("best"), F.count("*").alias("group_size")
+        )
     )
     return rows.join(groups, rows["recipe"] == groups["same"]).select(
         "doc_id",

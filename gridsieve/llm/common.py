@@ -29,6 +29,15 @@ def keep(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_for_join(grouped: DataFrame) -> DataFrame:
+    """An aggregate that is joined back on its own keys, written first.
+
+    Unwritten, it would share the join's partitions, and Spark cannot split a hot partition
+    that is aggregated and joined in one stage.
+    """
+    return keep(grouped)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
