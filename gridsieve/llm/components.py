@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsieve.llm.common import keep
+from gridsieve.llm.common import keep, keep_for_join
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def connected(links: DataFrame) -> DataFrame:
     before = None
     while (state := _fingerprint(now)) != before:
         before = state
-        now = keep(_small_star(_large_star(now)))
+        now = keep(_small_star(keep(_large_star(now))))
     roots = now.select(F.col("m").alias("node")).distinct()
     return now.select(F.col("v").alias("node"), F.col("m").alias("component")).unionByName(
         roots.withColumn("component", F.col("node"))
@@ -36,7 +36,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.select(F.col("v").alias("u"), F.col("m").alias("n")).unionByName(
         links.select(F.col("m").alias("u"), F.col("v").alias("n"))
     )
-    least = both.groupBy("u").agg(F.min("n").alias("n_min"))
+    least = keep_for_join(both.groupBy("u").agg(F.min("n").alias("n_min")))
     return (
         both.where("n > u")
         .join(least, "u")
@@ -47,6 +47,6 @@ def _large_star(links: DataFrame) -> DataFrame:
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Smaller neighbours of every node, and the node, are linked to the least of them."""
-    least = links.groupBy("v").agg(F.min("m").alias("low"))
+    least = keep_for_join(links.groupBy("v").agg(F.min("m").alias("low")))
     onto = links.join(least, "v").where("m <> low").select(F.col("m").alias("v"), F.col("low").alias("m"))
     return onto.unionByName(least.select("v", F.col("low").alias("m"))).distinct()

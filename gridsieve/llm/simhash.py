@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridsieve.llm.common import keep, map_batches
+from gridsieve.llm.common import keep, keep_for_join, map_batches
 from gridsieve.llm.components import connected
 
 SHINGLE_WORDS, MAX_BITS = 3, 2
@@ -120,7 +120,7 @@ def groups(codes: DataFrame, max_bits: int = MAX_BITS, max_group: int = MAX_GROU
         )
         members = members.withColumn("mask", F.explode(table[F.col("mask")]))
         members = members.withColumn("pattern", F.col("code").bitwiseAND(F.col("mask")))
-        sizes = members.groupBy("mask", "pattern").agg(F.count("*").alias("size")).where("size > 1")
+        sizes = keep_for_join(members.groupBy("mask", "pattern").agg(F.count("*").alias("size")).where("size > 1"))
         sized = members.join(sizes, ["mask", "pattern"])
         if level == levels:
             done.append(sized.drop("size"))
@@ -272,8 +272,10 @@ def near_duplicates(
     components = connected(links(groups(nodes, max_bits, max_group, levels), max_bits))
     named = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = keep(named)
-    heads = named.groupBy(F.col("component").alias("c")).agg(
-        F.min("least_id").alias("component_id"), F.min("best").alias("head")
+    heads = keep_for_join(
+        named.groupBy(F.col("component").alias("c")).agg(
+            F.min("least_id").alias("component_id"), F.min("best").alias("head")
+        )
     )
     by_code = named.join(heads, named["component"] == heads["c"]).select(
         F.col("code").alias("of"), "component_id", "head"
