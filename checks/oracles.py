@@ -415,6 +415,10 @@ FROM customer""",
     "sql_source": f"SELECT time, v, w, x, y FROM ({inp.GRID_SQL}) WHERE time >= {START} AND time <= {END}",
     "path_expand": "SELECT DISTINCT event_type, suffix FROM events, (VALUES ('.csv'), ('.dat')) AS s(suffix)",
     "csv_scan": "SELECT ts, value, user_id AS station FROM events, (VALUES (1), (2)) AS twice(i)",
+    "csv_status": "SELECT DISTINCT event_type, kind, status, detail FROM events, (VALUES ('csv', 'read', NULL), "
+    "('txt', 'read', NULL), ('csv', 'failed', 'missing columns: value')) AS s(kind, status, detail)",
+    "csv_breaks": "SELECT ts, event_type || chr(10) || 'said \"x\"' AS note, (user_id % 7)::varchar || 'F' AS code, value "
+    "FROM events",
     "csv_roundtrip": "SELECT * FROM events",
     "grid_unpack": "SELECT l_shipdate AS time, l_orderkey AS cell, "
     "nullif(l_quantity, 13) * 0.5::double + 10.0::double AS pr, "

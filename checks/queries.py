@@ -146,14 +146,40 @@ def path_expand(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(folder, "suffix").distinct()
 
 
-def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Three sets of files with other headers; the one without ``value`` is left out."""
+def _three_file_sets(spark: SparkSession, sf: str) -> str:
     base, events = scratch_dir(spark), _station_files(spark, sf)
     writers.write_csv(events, base, "ts", ["event_type"], mode="append")
     turned = events.select("value", F.lit("x, y").alias("note"), "ts", "station", "event_type")
     writers.write_csv(turned, base, None, ["event_type"], "txt", mode="append")
     writers.write_csv(events.drop("value"), base, "ts", ["event_type"], mode="append")
-    data, _ = gs.scan_csv(spark, f"{base}/event_type=*/*", ["ts", "value", "station"], "ts")
+    return f"{base}/event_type=*/*"
+
+
+def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Three sets of files with other headers; the one without ``value`` is left out."""
+    data, _ = gs.scan_csv(spark, _three_file_sets(spark, sf), ["ts", "value", "station"], "ts")
+    return data
+
+
+def csv_status(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of the files of each folder."""
+    _, files = gs.scan_csv(spark, _three_file_sets(spark, sf), ["ts", "value", "station"], "ts")
+    folder = F.regexp_extract("path", r"event_type=([^/]*)/", 1).alias("event_type")
+    kind = F.regexp_extract("path", r"\.(\w+)$", 1).alias("kind")
+    return files.select(folder, kind, "status", "detail").distinct()
+
+
+def csv_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Line breaks and quotes inside fields, and codes that only look like numbers."""
+    base = scratch_dir(spark)
+    events = inp.table(spark, sf, "events").select(
+        "ts",
+        F.concat("event_type", F.lit('\nsaid "x"')).alias("note"),
+        F.concat((F.col("user_id") % 7).cast("string"), F.lit("F")).alias("code"),
+        "value",
+    )
+    writers.write_csv(events, base, "ts")
+    data, _ = gs.scan_csv(spark, base, events.columns, "ts")
     return data
 
 
@@ -605,6 +631,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         request_parse, catalog_lookup, catalog_missing, catalog_first_match, catalog_glob,
         catalog_find_or_create, request_fanout, source_route, sql_source, path_expand, csv_scan,
+        csv_status, csv_breaks,
         grid_unpack, raster_pixels, tile_keys, year_files, file_key, project_catalog, time_clip,
         time_clip_open, time_normalise, time_parse, file_skip, bbox_clip, clip_touch, clip_centre,
         clip_hole, clip_dense, clip_long_dropna, clip_many_areas, coord_resolve, area_reproject,
