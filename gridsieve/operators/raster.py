@@ -117,7 +117,16 @@ def skip_tiles(tiles: DataFrame, boxes: DataFrame) -> DataFrame:
 _WINDOW = ("row_off", "col_off", "new_height", "new_width", "new_x0", "new_y0")
 
 
-def _in_windows(pixels: DataFrame, windows: DataFrame, limit: int, how: str = "inner") -> DataFrame:
+def _block_bound(windows: DataFrame) -> int:
+    """At most as many blocks of pixels as the windows lie in, counted window by window."""
+    block = F.lit(BLOCK_PIXELS)
+    per_window = (F.ceil(F.col("new_height") / block) + 1) * (F.ceil(F.col("new_width") / block) + 1)
+    return windows.agg(F.coalesce(F.sum(per_window), F.lit(0)).alias("n")).first()["n"]
+
+
+def _in_windows(
+    pixels: DataFrame, windows: DataFrame, limit: int, how: str = "inner", bound: int | None = None
+) -> DataFrame:
     """Pixels paired with the crop windows that hold them.
 
     Windows are listed per square block of pixels, so a pixel is tested against
@@ -133,14 +142,8 @@ def _in_windows(pixels: DataFrame, windows: DataFrame, limit: int, how: str = "i
             )
         )
 
-    bound = windows.agg(
-        F.coalesce(
-            F.sum(
-                (F.ceil(F.col("new_height") / block) + 1) * (F.ceil(F.col("new_width") / block) + 1)
-            ),
-            F.lit(0),
-        ).alias("n")
-    ).first()["n"]
+    if bound is None:
+        bound = _block_bound(windows)
     listed = windows.withColumn("block_row", blocks("row_off", "new_height")).withColumn(
         "block_col", blocks("col_off", "new_width")
     )
@@ -260,8 +263,9 @@ def raster_mosaic(
         )
 
     shared = materialise(_shared_windows(tiles, x0, y0, res, limit))
-    contested = placed(_in_windows(pixels, shared, limit, "left_semi"))
-    clear = placed(_in_windows(pixels, shared, limit, "left_anti"))
+    bound = _block_bound(shared)
+    contested = placed(_in_windows(pixels, shared, limit, "left_semi", bound))
+    clear = placed(_in_windows(pixels, shared, limit, "left_anti", bound))
     dx = F.col("x") - (F.lit(x0) + (F.col("gcol") + 0.5) * F.lit(res))
     dy = F.col("y") - (F.lit(y0) - (F.col("grow") + 0.5) * F.lit(res))
     precedence = F.struct((dx * dx + dy * dy).alias("d"), "tile_id", "row", "col")
