@@ -8,8 +8,8 @@ with substituted words still has the hash of the original under a mask that igno
    counted seeds and has an upper limit; a crowded one costs time, never results) lets through the
    few windows worth a join.  Only these and the words around them leave the task.
 3. Hits are joined with the seeds by hash, which gives places (item, shift) in a document.
-4. Every place is verified word by word: along the shift, the best run of equal words in which a
-   substitution costs ``PENALTY`` words must hold enough equal words.
+4. Every place is verified word by word: along the shift, some run with at least four fifths of its words
+   equal (at most one other word for every ``PENALTY``) must hold enough equal words.
 
 Words are runs of digits, letters and non-ASCII signs, A-Z lower-cased.  A run counts if it holds
 ``MIN_WORDS`` equal words, or four fifths of a shorter item.
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ from gridsieve.llm.common import (
 SPAN = 12
 #: 1 marks a position that has to agree.
 MASKS = ("110110111011", "101101101101", "111010011011", "111111000111")
-LEAST_WORDS, MIN_WORDS, PENALTY = 5, 13, 3
+LEAST_WORDS, MIN_WORDS, PENALTY = 5, 13, 4
 BLOOM_MOST_BITS, BLOOM_LEAST_BITS, BLOOM_BITS_PER_SEED = 27, 16, 128
 
 _CLASSES = byte_classes(WORD_BYTES)
@@ -199,24 +200,40 @@ def scan(docs: DataFrame, masks: list[tuple[int, ...]], bloom: Bloom, margin: in
 
 
 def best_overlap(item: list[bytes], words: list[bytes], shift: int) -> tuple[int, int, int] | None:
-    """First item word, length and equal words of the best verified run along a shift, or None."""
+    """First item word, length and equal words of the best verified run along a shift, or None.
+
+    Of all runs with four fifths equal it is the one of most equal words, then the shortest, then the first.
+    """
     need = min(MIN_WORDS, -(-4 * len(item) // 5))
     first, after = max(0, -shift), min(len(item), len(words) - shift)
+    same = [item[i] == words[i + shift] for i in range(first, after)]
+    if sum(same) < need:
+        return None
+    # A run keeps to the rule if its sum of +1 for equal and -PENALTY for other words is not negative.  For each
+    # end the widest such run begins at a new minimum of the sums before; these minima fall, so they can be searched.
+    lows, starts = [0], [0]
+    total = equal = 0
+    before = [0]
     best = None
-    score = begin = equal = 0
-    top = 0
-    for i in range(first, after):
-        if score <= 0:
-            score, begin, equal = 0, i, 0
-        if item[i] == words[i + shift]:
-            score += 1
-            equal += 1
-        else:
-            score -= PENALTY
-        if score > top:
-            top = score
-            best = (begin, i + 1 - begin, equal)
-    return best if best is not None and best[2] >= need else None
+    for j, agrees in enumerate(same):
+        total += 1 if agrees else -PENALTY
+        equal += agrees
+        before.append(equal)
+        if agrees:
+            k = bisect_left(lows, -total, key=lambda low: -low)
+            if k < len(lows):
+                i = starts[k]
+                while not same[i]:
+                    i += 1
+                found = (equal - before[i], i - j - 1)
+                if best is None or found > best[:2]:
+                    best = (*found, i)
+        elif total < lows[-1]:
+            lows.append(total)
+            starts.append(j + 1)
+    if best is None or best[0] < need:
+        return None
+    return first + best[2], -best[1], best[0]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import itertools
 import json
 import re
 
@@ -141,6 +142,36 @@ def test_overlaps_tolerate_substitutions():
     assert decontam.best_overlap(item[:10], item[:8] + [b"x", b"x"], 0) == (0, 8, 8)
 
 
+def widest(same, need):
+    """Most equal words of any run with four fifths equal, then the shortest, then the first; by trying all."""
+    runs = [
+        (sum(same[a:b]), a - b, -a)
+        for a in range(len(same)) for b in range(a + 1, len(same) + 1) if 5 * sum(same[a:b]) >= 4 * (b - a)
+    ]
+    equal, length, begin = max(runs, default=(0, 0, 0))
+    return (-begin, -length, equal) if equal >= need else None
+
+
+def test_every_substitution_the_rule_allows_is_verified():
+    for n in range(5, 21):
+        item = [str(k).encode() for k in range(n)]
+        need = min(13, -(-4 * n // 5))
+        for changed in (1, 2, 3):
+            for places in itertools.combinations(range(n), changed):
+                other = [b"x" if k in places else w for k, w in enumerate(item)]
+                found = decontam.best_overlap(item, [b"y", *other], 1)
+                if n < 17:
+                    assert (found is not None) == (n - changed >= need), (n, places)
+                if n in (9, 12, 15) or n > 16 and changed < 3:
+                    assert found == widest([k not in places for k in range(n)], need), (n, places)
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        same = rng.random(int(rng.integers(5, 60))) < 0.8
+        item = [str(k).encode() for k in range(len(same))]
+        other = [w if s else b"x" for w, s in zip(item, same)]
+        assert decontam.best_overlap(item, other, 0) == widest(same.tolist(), min(13, -(-4 * len(same) // 5)))
+
+
 # Quality ---------------------------------------------------------------------------------------
 
 
