@@ -1,7 +1,9 @@
 """Benchmark decontamination with spaced seeds.
 
-A *mask* fixes some positions of a window of ``SPAN`` words and ignores the others, so a window
-with substituted words still has the hash of the original under a mask that ignores them.
+A *mask* fixes some positions of a window of words and ignores the others, so a window with
+substituted words still has the hash of the original under a mask that ignores them.  The masks for
+items of each length are chosen so that every passage that step 4 accepts shares at least one seed: a
+run of 32 or more words within the rule holds a shorter one, and the shorter ones are enumerated in a test.
 
 1. Seeds of all benchmark items: the hash of every window under every mask.
 2. Documents are scanned with the same masks.  A Bloom filter of the seeds (its size follows the
@@ -15,8 +17,7 @@ Words are runs of digits, letters and non-ASCII signs, A-Z lower-cased.  A run c
 ``MIN_WORDS`` equal words, or four fifths of a shorter item.
 
 Defined results: null text counts as empty; items of fewer than ``LEAST_WORDS`` words identify
-nothing and are never found; items shorter than a window are sought as they are, without ignored
-positions; repeated items are each reported; repeated documents share their result; empty tables
+nothing and are never found; repeated items are each reported; repeated documents share their result; empty tables
 give an empty result; extra columns are ignored.
 """
 
@@ -38,8 +39,26 @@ from gridsieve.llm.common import (
 )
 
 SPAN = 12
-#: 1 marks a position that has to agree.
-MASKS = ("110110111011", "101101101101", "111010011011", "111111000111")
+#: 1 marks a position that has to agree.  Shapes for items of SPAN words or more, and for each shorter length.
+SHAPES = ("11110111", "11101001011", "100100011111", "1111010011", "111010100011", "10011011101", "1110011101")
+_TEN = ("1111011", "11001111", "110110011", "11110101", "10101111")
+SHORT_SHAPES = {
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "11011"),
+    7: ("11111", "111011", "110111"),
+    8: ("11111", "111011"),
+    9: ("1111011", "1101111"),
+    10: _TEN,
+    11: _TEN,
+}
+
+
+def _placed(shapes: tuple[str, ...], span: int) -> tuple[str, ...]:
+    """The shapes at all places of a window."""
+    return tuple(("0" * k + s).ljust(span, "0") for s in shapes for k in range(span - len(s) + 1))
+
+
+MASKS = _placed(SHAPES, SPAN)
 LEAST_WORDS, MIN_WORDS, PENALTY = 5, 13, 4
 BLOOM_MOST_BITS, BLOOM_LEAST_BITS, BLOOM_BITS_PER_SEED = 27, 16, 128
 
@@ -54,19 +73,34 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def masks_for(lengths: list[int]) -> list[tuple[int, ...]]:
-    """Positions that have to agree: the spaced masks, and all positions for short items."""
-    spaced = [tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS]
-    return spaced + [tuple(range(n)) for n in sorted(set(lengths)) if LEAST_WORDS <= n < SPAN]
+    """Positions that have to agree, for each mask: first ``MASKS``, then those over all words of short items.
+
+    The latter have an entry for every word; that of an ignored word repeats another one.
+    """
+    masks = [tuple(i for i, c in enumerate(m) if c == "1") for m in MASKS]
+    for n in sorted(set(lengths)):
+        for m in _placed(SHORT_SHAPES.get(n, ()), n):
+            masks.append(tuple(i if c == "1" else m.index("1") for i, c in enumerate(m)))
+    return masks
+
+
+def shapes_for(lengths: list[int]) -> dict[tuple[int, ...], set[int]]:
+    """Masks by their positions from 0, whatever their place, and the lengths of the items they are for (SPAN: or longer)."""
+    shapes: dict[tuple[int, ...], set[int]] = {}
+    for n, of_length in [(SPAN, SHAPES), *((n, SHORT_SHAPES[n]) for n in sorted(set(lengths)) if n in SHORT_SHAPES)]:
+        for s in of_length:
+            shapes.setdefault(tuple(i for i, c in enumerate(s) if c == "1"), set()).add(n)
+    return shapes
 
 
-def window_hashes(h: np.ndarray, doc: np.ndarray, mask: tuple[int, ...], number: int) -> tuple[np.ndarray, np.ndarray]:
+def window_hashes(h: np.ndarray, doc: np.ndarray, shape: tuple[int, ...], number: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the windows under one mask, and the word each begins at; no window leaves its text."""
-    span = SPAN if number < len(MASKS) else len(mask)
+    span = shape[-1] + 1
     n = len(h) - span + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     total = np.full(n, _FACTORS[40 + number], np.uint64)
-    for place, factor in zip(mask, _FACTORS):
+    for place, factor in zip(shape, _FACTORS):
         total += h[place : place + n] * factor
     at = np.flatnonzero(doc[:n] == doc[span - 1 :])
     return mixed(total[at]), at
@@ -98,7 +132,7 @@ class Bloom:
         return at
 
 
-def seeds_of(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
+def seeds_of(items: DataFrame, shapes: dict[tuple[int, ...], set[int]]) -> DataFrame:
     """h, item, pos: every window of every item (item, text) under every mask that is meant for it."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -109,10 +143,10 @@ def seeds_of(items: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
         count = np.bincount(doc, minlength=batch.num_rows)
         first = np.searchsorted(doc, np.arange(batch.num_rows))
         out = []
-        for number, mask in enumerate(masks):
-            h, at = window_hashes(hashed, doc, mask, number)
+        for number, (shape, lengths) in enumerate(shapes.items()):
+            h, at = window_hashes(hashed, doc, shape, number)
             own = doc[at]
-            fit = count[own] >= SPAN if number < len(MASKS) else count[own] == len(mask)
+            fit = np.isin(np.minimum(count[own], SPAN), list(lengths))
             out.append((h[fit], own[fit], (at - first[own])[fit]))
         h, own, pos = (np.concatenate(x) for x in zip(*out))
         item = batch.column(0).to_numpy(zero_copy_only=False)
@@ -144,7 +178,7 @@ def bloom_of(seeds: DataFrame) -> Bloom:
 REGIONS = "region long, doc_id long, text_sha256 string, first_word long, words binary, hits array<struct<h:bigint,at:bigint>>"
 
 
-def scan(docs: DataFrame, masks: list[tuple[int, ...]], bloom: Bloom, margin: int) -> DataFrame:
+def scan(docs: DataFrame, shapes: list[tuple[int, ...]], bloom: Bloom, margin: int) -> DataFrame:
     """Stretches of documents around windows that may be seeds, with the hashes of these windows."""
     shared = docs.sparkSession.sparkContext.broadcast((bloom.bits, bloom.bytes))
 
@@ -171,12 +205,12 @@ def scan(docs: DataFrame, masks: list[tuple[int, ...]], bloom: Bloom, margin: in
             return
         hashed = token_hashes(lower, starts, ends)
         at, h, reach = [], [], []
-        for k, mask in enumerate(masks):
-            window, begin = window_hashes(hashed, doc, mask, k)
+        for k, shape in enumerate(shapes):
+            window, begin = window_hashes(hashed, doc, shape, k)
             some = wanted.may_hold(window)
             at.append(begin[some])
             h.append(window[some])
-            reach.append(np.full(len(some), SPAN if k < len(MASKS) else len(mask)))
+            reach.append(np.full(len(some), shape[-1] + 1))
         at, h, reach = np.concatenate(at), np.concatenate(h).view(np.int64), np.concatenate(reach)
         if not len(at):
             return
@@ -252,9 +286,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     counted = items.select(F.size(F.expr(r"regexp_extract_all(lower(text), '[0-9a-z\\x{80}-\\x{10ffff}]+', 0)")).alias("n"))
     longest = counted.agg(F.max("n")).first()[0] or 0
     short = [r["n"] for r in counted.where((F.col("n") < SPAN) & (F.col("n") >= LEAST_WORDS)).distinct().collect()]
-    masks = masks_for(short)
-    seeds = keep(seeds_of(items, masks))
-    regions = keep(scan(docs, masks, bloom_of(seeds), max(longest, SPAN)))
+    shapes = shapes_for(short)
+    seeds = keep(seeds_of(items, shapes))
+    regions = keep(scan(docs, list(shapes), bloom_of(seeds), max(longest, SPAN)))
     hits = regions.select("region", F.explode("hits").alias("hit")).select("region", "hit.h", "hit.at")
     places = (
         hits.join(seeds, "h")

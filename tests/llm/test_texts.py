@@ -172,6 +172,46 @@ def test_every_substitution_the_rule_allows_is_verified():
         assert decontam.best_overlap(item, other, 0) == widest(same.tolist(), min(13, -(-4 * len(same) // 5)))
 
 
+def seedless(n, changed, shapes, live=None):
+    """Patterns of substitutions in n words, as bits, of which no window under any shape is free."""
+    bits = np.array([sum(1 << k for k in c) for c in itertools.combinations(range(n), changed)], np.int64)
+    for width, most in live or ():  # leave out what holds a shorter run within the rule
+        for k in range(n - width + 1):
+            bits = bits[np.bitwise_count((bits >> k) & ((1 << width) - 1)) > most]
+    for shape in shapes:
+        for k in range(n - shape[-1]):
+            bits = bits[(bits & sum(1 << (k + p) for p in shape)) != 0]
+    return len(bits)
+
+
+def test_every_accepted_substitution_shares_a_seed():
+    for n in range(5, 17):
+        shapes = [s for s, lengths in decontam.shapes_for([n]).items() if min(n, decontam.SPAN) in lengths]
+        assert seedless(n, n - min(13, -(-4 * n // 5)), shapes) == 0, n
+    # Longer items: runs of up to 16 words with 13 equal are those above.  A run of 32 or more words within the rule holds
+    # a shorter one, because two parts of 16 or more that break it have more substitutions than the whole may have.
+    shapes = list(decontam.shapes_for([]))
+    for n in range(17, 32):
+        for changed in range(4, n // 5 + 1):
+            assert seedless(n, changed, shapes, [(w, w // 5) for w in range(16, n)]) == 0, (n, changed)
+
+
+def test_substituted_and_cut_items_are_found(spark):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (5, 6, 7, 8, 9, 10, 11, 12, 15, 16, 18)}
+    docs, expected = [], set()
+    for n, item in items.items():
+        spare = n // 5
+        for places in ({0}, {n - 1}, {n // 2}, {*range(0, n, -(-n // spare))}, {*range(2, n, -(-n // spare))}):
+            if len(places) <= spare:
+                docs.append((len(docs), " ".join(["a b", *("x" if k in places else w for k, w in enumerate(item)), "c d"])))
+                expected.add((len(docs) - 1, n))
+        docs += [(len(docs), " ".join(item[spare:])), (len(docs) + 1, " ".join(item[: n - spare]))]
+        expected |= {(len(docs) - 2, n), (len(docs) - 1, n)}
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    found = decontam.contaminated(documents(spark, docs), benchmark)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == expected
+
+
 # Quality ---------------------------------------------------------------------------------------
 
 
