@@ -12,7 +12,8 @@ address.  A surrogate is drawn from an HMAC of the entity under a key:
 The same entity has the same surrogate in all documents (coreference).  Two entities must not
 share one (distinctness), and a surrogate must not be an entity that occurs: the entities of all
 documents are checked on Spark, and those that collide, except the first, are drawn again until
-none is left.  Entities drawn again travel by a join with the documents they occur in; if there
+none is left.  Later draws are longer, so this ends also where a format holds fewer surrogates than
+there are entities.  Entities drawn again travel by a join with the documents they occur in; if there
 are none, no text is shuffled.
 
 Defined results: null text counts as empty and stays empty; texts without entities stay as they are;
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 from gridsieve.llm.common import id_key, keep, map_batches, text_or_empty
 
 KEY = b"replace me: every corpus should have a key of its own"
-MAX_DRAWS = 40
+#: So many draws keep the length of the entity; each one after them has a sign, sound or octet more.
+SAME_LENGTH_DRAWS = 8
 
 _EMAIL = re.compile(r"[\w.+\-]{1,64}@[\w\-]+(?:\.[\w\-]+)+")
 _DIGITS = re.compile(r"\d[\d .\-()]{5,}")
@@ -64,6 +66,8 @@ SOUNDS = {
     "GREEK": ("β γ δ κ λ μ ν π ρ σ τ".split(), "α ε ι ο".split(), "α ια ινα".split(), "ν ς".split()),
 }
 
+_LETTERS, _DECIMALS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+
 Entity = tuple[int, int, str, str]
 
 
@@ -134,6 +138,7 @@ class Draw:
     def __init__(self, key: bytes, kind: str, entity: str, attempt: int):
         # A first name has one surrogate per gender; all other kinds are apart as well.
         self.key = key
+        self.more = max(0, attempt + 1 - SAME_LENGTH_DRAWS)
         self.seed = f"{kind}\0{attempt}\0{entity}".encode("utf-8", "surrogatepass")
         self.block = 0
         self.pool = b""
@@ -149,6 +154,10 @@ class Draw:
         return choices[self.below(len(choices))]
 
 
+def _longer(text: str, signs: str, draw: Draw) -> str:
+    return text + "".join(draw.among(signs) for _ in range(draw.more))
+
+
 def _like(c: str, draw: Draw) -> str:
     """Another sign of the same sort: digit, letter of the same case and script, or the sign itself."""
     if c.isdigit() and c.isascii():
@@ -170,9 +179,9 @@ def _like(c: str, draw: Draw) -> str:
 def _name(entity: str, kind: str, draw: Draw) -> str:
     script = unicodedata.name(entity[0], "").split(" ")[0]
     if script not in SOUNDS:
-        return "".join(_like(c, draw) for c in entity)
+        return "".join(_like(c, draw) for c in entity + entity[-1] * draw.more)
     consonants, vowels, female, other = SOUNDS[script]
-    parts = [draw.among(consonants) + draw.among(vowels) for _ in range(max(2, min(5, len(entity) // 2)))]
+    parts = [draw.among(consonants) + draw.among(vowels) for _ in range(max(2, min(5, len(entity) // 2)) + draw.more)]
     if kind == "first_f":
         parts[-1] = draw.among(consonants) + draw.among(female)
     elif kind.startswith("first"):
@@ -189,38 +198,39 @@ def surrogate(kind: str, entity: str, attempt: int = 0, key: bytes = KEY) -> str
         local, domain = entity.split("@", 1)
         labels = domain.split(".")
         changed = ["".join(_like(c, draw) for c in x) for x in labels[:-1]]
-        return "".join(_like(c, draw) for c in local) + "@" + ".".join([*changed, labels[-1]])
+        return _longer("".join(_like(c, draw) for c in local), _LETTERS, draw) + "@" + ".".join([*changed, labels[-1]])
     if kind == "ip":
-        return ".".join(str(draw.below(min(256, 10 ** len(o)))) for o in entity.split("."))
+        octets = [256 if draw.more else min(256, 10 ** len(o)) for o in entity.split(".")]
+        return ".".join(str(draw.below(n)) for n in octets + [256] * (draw.more - SAME_LENGTH_DRAWS))
     if kind == "phone":
         lead = len(entity) - 10
-        return entity[:lead] + str(2 + draw.below(8)) + "".join(_like(c, draw) for c in entity[lead + 1 :])
+        return _longer(entity[:lead] + str(2 + draw.below(8)) + "".join(_like(c, draw) for c in entity[lead + 1 :]), _DECIMALS, draw)
     if kind == "card":
-        body = "".join(_like(c, draw) for c in entity)
+        body = _longer("".join(_like(c, draw) for c in entity), _DECIMALS, draw)
         if _luhn(entity) == 0:
             return next(body[:-1] + str(d) for d in range(10) if _luhn(body[:-1] + str(d)) == 0)
         return body
     if kind == "account":
-        body = "".join(_like(c, draw) for c in entity[4:])
+        body = _longer("".join(_like(c, draw) for c in entity[4:]), _DECIMALS, draw)
         return f"{entity[:2]}{98 - _mod_97(entity[:2] + '00' + body):02d}{body}"
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", entity):
         signs = "0123456789abcdef" if entity == entity.lower() else "0123456789ABCDEF"
-        return "".join(draw.among(signs) for _ in entity)
+        return _longer("".join(draw.among(signs) for _ in entity), signs, draw)
     if kind.startswith("first") or kind == "surname":
         return _name(entity, kind, draw)
-    return "".join(_like(c, draw) for c in entity)
+    return _longer("".join(_like(c, draw) for c in entity), _DECIMALS, draw)
 
 
 def in_format(original: str, kind: str, new: str) -> str:
     """The surrogate in the spelling of this mention: its separators and its capitals."""
     if kind in ("phone", "ssn", "card"):
         digits = iter(new)
-        return "".join(next(digits) if c.isdigit() else c for c in original)
+        return "".join([*(next(digits) if c.isdigit() else c for c in original), *digits])
     if kind == "account":
         signs = iter(new)
-        return "".join(c if c == " " else next(signs) for c in original)
+        return "".join([*(c if c == " " else next(signs) for c in original), *signs])
     if kind == "email" and original != original.lower():
-        return "".join(n.upper() if o.isupper() else n for o, n in zip(original, new))
+        return "".join(n.upper() if o.isupper() else n for o, n in zip(original, new)) + new[len(original) :]
     if kind.startswith("first") or kind == "surname":
         if len(original) > 1 and original.isupper():
             return new.upper()
@@ -274,7 +284,7 @@ def attempts(found: DataFrame, key: bytes = KEY) -> DataFrame:
     """kind, entity, attempt, surrogate for all entities; no two of a kind share a surrogate."""
     entities = found.select("kind", "entity").distinct().withColumn("attempt", F.lit(0))
     settled = keep(_drawn(entities, key))
-    for _ in range(MAX_DRAWS):
+    while True:
         first = settled.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "entity")).alias("first"))
         shared = settled.join(first, ["kind", "surrogate"]).where(
             (F.col("first.entity") != F.col("entity"))
@@ -287,7 +297,6 @@ def attempts(found: DataFrame, key: bytes = KEY) -> DataFrame:
         fresh = settled.join(clash, ["kind", "entity"]).select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
         stay = settled.join(clash, ["kind", "entity"], "left_anti")
         settled = keep(stay.unionByName(_drawn(fresh, key)))
-    raise ValueError(f"entities still share surrogates after {MAX_DRAWS} draws")
 
 
 def anonymise(docs: DataFrame, key: bytes = KEY) -> DataFrame:

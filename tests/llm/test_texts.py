@@ -343,6 +343,37 @@ def test_surrogates_are_distinct_and_coreferent(spark, monkeypatch):
     assert len({names[k][0] for k in range(9)}) == 9
 
 
+def test_more_entities_than_a_format_holds(spark):
+    # All addresses of one-digit octets, all mails of one-letter parts, and a secret without letters to change.
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    ips = [".".join(f"{k:04d}") for k in range(10_000)]
+    mails = [f"{a}@{b}.net" for a in letters for b in letters]
+    names = ["".join(n).capitalize() for n in itertools.product("bdfgkl", "aeiou", "bdfgk", "aeiou", "bdfg")]
+    said = ips + mails + [f"Mrs {n} Smith" for n in names] + ['token: "------------"', "password: ____________"]
+    rows = [(k, " , ".join(said[at : at + 500])) for k, at in enumerate(range(0, len(said), 500))]
+    done = surrogates.attempts(surrogates.mentions(documents(spark, rows))).toArrow().to_pylist()
+    kinds = collections.Counter(r["kind"] for r in done)
+    assert kinds == {"ip": 10_000, "email": 676, "first_f": len(names), "surname": 1, "secret": 2}
+    for kind, n in kinds.items():
+        new = {r["surrogate"] for r in done if r["kind"] == kind}
+        assert len(new) == n and not new & {r["entity"] for r in done if r["kind"] == kind}
+
+
+@pytest.mark.parametrize("kind, original", [
+    ("phone", "(017) 555-7713"), ("ssn", "123-45-6789"), ("card", "4111 1111 1111 1111"), ("account", "GB82 WEST 1234 5698 7654 32"),
+    ("email", "The.72@Mail3.example.com"), ("ip", "1.2.3.4"), ("surname", "Smith"), ("surname", "王小明"), ("secret", "0123456789abcdef" * 2),
+])
+def test_later_draws_grow(kind, original):
+    entity = next(e for *_, k, e in surrogates.find_entities("Mr " + original) if k == kind)
+    drawn = [surrogates.in_format(original, kind, surrogates.surrogate(kind, entity, k)) for k in (0, 7, 20, 30)]
+    assert len(drawn[2]) > len(drawn[1]) or kind == "ip"
+    assert len(drawn[3]) > len(drawn[2])
+    if kind == "card":
+        assert surrogates._luhn(re.sub(r"\D", "", drawn[3])) == 0
+    if kind == "account":
+        assert surrogates._mod_97(drawn[3]) == 1
+
+
 def test_surrogates_of_awkward_rows(spark):
     found = surrogates.anonymise(documents(spark, [*TEXTS, (20, PRIVATE), (None, PRIVATE), (20, PRIVATE)]))
     assert found.count() == len(TEXTS) + 3
