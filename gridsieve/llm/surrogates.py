@@ -7,7 +7,10 @@ address.  A surrogate is drawn from an HMAC of the entity under a key:
 * digits become digits, letters letters of the same case and script, signs stay where they are;
   numbers with a valid check digit get one, octets stay below 256, country codes stay;
 * every word of a name is an entity of its own, so a full name and a surname alone remain one
-  person; first names follow the gender of the form of address, and new names are pronounceable.
+  person; first names follow the gender of the form of address, and new names are pronounceable;
+* a word of a name is replaced wherever it stands in the same document with a capital, also without
+  a form of address, and is taken as the first name or surname that a full name shows it to be (the
+  latest one, where they differ).  Lone initials are replaced after a form of address only.
 
 The same entity has the same surrogate in all documents (coreference).  Two entities must not
 share one (distinctness), and a surrogate must not be an entity that occurs: the entities of all
@@ -55,6 +58,9 @@ _ADDRESSED = re.compile(
     r"(?P<title>M(?:rs?|s|iss|me|lle)|Herrn?|Frau|S(?:ra?|eñora?)|D(?:r|oña|on)|Prof|Г-(?:н|жа))\b\.?[ \t]+"
     r"(?P<name>[^\W\d_]+(?:['’\-][^\W\d_]+)*(?:[ \t]+[^\W\d_]+(?:['’\-][^\W\d_]+)*){0,2})"
 )
+_NAME_WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
+_LETTERS_ONLY = re.compile(r"[^\W\d_]+")
+_POSSESSIVE = re.compile(r"['’][sS]$")
 # Forms of address by gender.
 FEMALE = frozenset(("Mrs", "Ms", "Miss", "Mme", "Mlle", "Frau", "Sra", "Señora", "Doña", "Г-жа"))
 MALE = frozenset(("Mr", "M", "Herr", "Herrn", "Sr", "Señor", "Don", "Г-н"))
@@ -71,17 +77,54 @@ _LETTERS, _DECIMALS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 Entity = tuple[int, int, str, str]
 
 
-def _name_parts(m: re.Match) -> Iterator[Entity]:
-    words = list(re.finditer(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*", m["name"]))
+def _is_name(word: str) -> bool:
+    return word[0].isupper() or unicodedata.category(word[0]) == "Lo"
+
+
+def _name_parts(m: re.Match) -> Iterator[tuple[int, int, str, str, bool]]:
+    """The words of a name after a form of address, and whether the kind of each is certain."""
     taken = []
-    for w in words:
-        if not w[0][0].isupper() and unicodedata.category(w[0][0]) != "Lo":
+    for w in _NAME_WORD.finditer(m["name"]):
+        if not _is_name(w[0]):
             break
         taken.append(w)
     gender = "f" if m["title"] in FEMALE else "m" if m["title"] in MALE else "n"
     for k, w in enumerate(taken):
         kind = "surname" if k == len(taken) - 1 else f"first_{gender}"
-        yield m.start("name") + w.start(), m.start("name") + w.end(), kind, w[0].casefold()
+        word = _POSSESSIVE.sub("", w[0])
+        start = m.start("name") + w.start()
+        yield start, start + len(word), kind, word.casefold(), len(taken) > 1 and kind != "first_n"
+
+
+def _names(text: str) -> list[Entity]:
+    """Names after forms of address, and all other mentions of their words in the text."""
+    titled = {}
+    m = _ADDRESSED.search(text)
+    while m:
+        parts = list(_name_parts(m)) if m.start() == 0 or not text[m.start() - 1].isalnum() else []
+        titled.update((p[0], p) for p in parts)
+        m = _ADDRESSED.search(text, parts[-1][1] if parts else m.end("title"))
+    if not titled:
+        return []
+    # What an uncertain mention is: certain kinds come first, then first names.
+    order = sorted(titled.values(), key=lambda p: (not p[4], p[2] == "surname", p[0]))
+    kinds = {word: kind for _, _, kind, word, _ in reversed(order)}
+    found = []
+    for w in _NAME_WORD.finditer(text):
+        part = titled.get(w.start())
+        if part:
+            start, end, kind, word, certain = part
+            if certain:
+                kinds[word] = kind
+            found.append((start, end, kinds[word], word))
+            continue
+        pieces = [(w.start(), w[0] if w[0].casefold() in kinds else _POSSESSIVE.sub("", w[0]))]
+        if pieces[0][1].casefold() not in kinds:
+            pieces = [(w.start() + p.start(), p[0]) for p in _LETTERS_ONLY.finditer(w[0])]
+        for start, word in pieces:
+            if word.casefold() in kinds and _is_name(word) and (len(word) > 1 or not word.isupper()):
+                found.append((start, start + len(word), kinds[word.casefold()], word.casefold()))
+    return found
 
 
 def find_entities(text: str) -> list[Entity]:
@@ -109,11 +152,7 @@ def find_entities(text: str) -> list[Entity]:
     for m in _ACCOUNT.finditer(text):
         if (m.start() == 0 or not text[m.start() - 1].isalnum()) and _mod_97(m[0]) == 1:
             found.append((m.start(), m.end(), "account", m[0].replace(" ", "")))
-    m = _ADDRESSED.search(text)
-    while m:
-        parts = list(_name_parts(m)) if m.start() == 0 or not text[m.start() - 1].isalnum() else []
-        found += parts
-        m = _ADDRESSED.search(text, parts[-1][1] if parts else m.end("title"))
+    found += _names(text)
     found.sort(key=lambda e: (e[0], -e[1]))
     out, reach = [], 0
     for e in found:

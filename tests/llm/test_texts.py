@@ -343,6 +343,27 @@ def test_surrogates_are_distinct_and_coreferent(spark, monkeypatch):
     assert len({names[k][0] for k in range(9)}) == 9
 
 
+def test_names_are_hidden_wherever_they_stand():
+    text, kinds = surrogates.replace("Anna left. Mrs Anna Smith came. Smith said SMITH's and Anna-Smith's smith, Smithy. A Dr Smith", {})
+    first, last = re.match(r"(\w+) left\. Mrs \1 (\w+) came", text).groups()
+    assert text == f"{first} left. Mrs {first} {last} came. {last} said {last.upper()}'s and {first}-{last}'s smith, Smithy. A Dr {last}"
+    assert collections.Counter(kinds) == {"first_f": 3, "surname": 5}
+
+
+@pytest.mark.parametrize("text, kind", [
+    ("Dr Anna Smith and Mrs Anna Smith, Anna", "first_f"), ("Dr Anna and Mrs Anna Smith; Mrs Anna", "first_f"),
+    ("Dr Anna Smith, Anna; Dr Anna", "first_n"), ("Mr Anna, Dr Anna: Anna's", "surname"), ("Herr Anna Smith met Anna and Dr Anna Smith", "first_m"),
+])
+def test_one_kind_for_a_name_in_a_document(text, kind):
+    assert [k for *_, k, e in surrogates.find_entities(text) if e == "anna"] == [kind] * 3
+
+
+def test_names_of_two_persons_stay_apart():
+    found = surrogates.find_entities("Mrs Kim Lee and Mr Kim Park; Kim agreed. Mrs Kim Lee and Dr Kim")
+    assert [k for *_, k, e in found if e == "kim"] == ["first_f", "first_m", "first_m", "first_f", "first_f"]
+    assert surrogates.find_entities("Dr A Smith. A dog") == [(3, 4, "first_n", "a"), (5, 10, "surname", "smith")]
+
+
 def test_more_entities_than_a_format_holds(spark):
     # All addresses of one-digit octets, all mails of one-letter parts, and a secret without letters to change.
     letters = "abcdefghijklmnopqrstuvwxyz"
