@@ -47,7 +47,9 @@ BOILER_NAMES = frozenset(
     "sponsor sponsored subscribe taboola tags teaser toolbar tooltip warning widget".split()
 )
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>")
+# Quotes hold a value only right after an equals sign, as browsers have it; elsewhere they are signs like others.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|(?=>))|[^>=])*+)>")
+_OPEN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _NAME = re.compile(r"[a-z]+|[0-9]+")
 
@@ -132,7 +134,8 @@ def blocks_of(page: str) -> list[Block]:
             text("<")
             at = opening + 1
             continue
-        found = _TAG.match(page, opening)
+        # A quote that is never closed holds no value: such a tag ends at the next sign for it.
+        found = _TAG.match(page, opening) or _OPEN_TAG.match(page, opening)
         if not found:
             break  # cut off by the end of the page
         at = found.end()

@@ -299,6 +299,24 @@ def test_main_text_of_broken_pages_ends(page):
     assert boilerplate.main_text(page) == ""
 
 
+@pytest.mark.parametrize("page", [
+    "<article><p title=it's>hello</p><p>rest</p></article>",
+    "<article><p title=it's>hello</p><p>rest</p><p class=it's></article>",
+    '<article><p><a href="x"">hello</a></p><p>rest</p></article>',
+    '<article><p class="x>hello</p><p>rest</p></article>',
+    '<article><p " \' title = "a > b" alt=\'>\' data==x>hello</p><p>rest</p></article>',
+    '<article><p title=>hello</p><p a= >rest</p></article>',
+    '<article><p><a href=x?q="y>hello</a></p><p class="z">rest</p></article>',
+])
+def test_stray_quotes_drop_no_text(page):
+    assert boilerplate.main_text(page) == "hello\nrest"
+
+
+@pytest.mark.parametrize("page", ["<p =\"" * 5000, "<p a='>" * 3001, "<p a=\">" * 5001, "<p =" * 20_000])
+def test_open_quotes_end(page):
+    assert boilerplate.blocks_of(page) == []
+
+
 def test_pages_table(spark):
     rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", "<article>x y</article>", 1), (3, "u", "<article>x y</article>", 1), (3, "u", "<article>x y</article>", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
