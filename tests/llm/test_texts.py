@@ -317,6 +317,21 @@ def test_open_quotes_end(page):
     assert boilerplate.blocks_of(page) == []
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'><article>{}</article></div>", "<div class=sidebar><main>{}</main></div>",
+    "<form id=form1><div role=search><article>{}</article></div></form>", "<div class='post category-legal'>{}</div>",
+    "<div data-id=search data-role='menu'>{}</div>", "<div title='has class=ad in it'>{}</div>",
+])
+def test_names_of_wrappers_drop_no_text(page):
+    assert boilerplate.main_text(page.format("<p>" + "word " * 40 + "</p>")) == " ".join(["word"] * 40)
+
+
+@pytest.mark.parametrize("attributes", ["class=ad", "class='wide ad-slot'", 'ID="sidebar2"', "x=1 role = navigation", 'a="b"class="cookie_notice"'])
+def test_boilerplate_names_still_mark(attributes):
+    page = "<div {}>{}</div><article><p>{}</p><div {}>{}</div></article>".format(attributes, "ad " * 40, "word " * 40, attributes, "ad " * 40)
+    assert boilerplate.main_text(page) == " ".join(["word"] * 40)
+
+
 def test_pages_table(spark):
     rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", "<article>x y</article>", 1), (3, "u", "<article>x y</article>", 1), (3, "u", "<article>x y</article>", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
