@@ -2,7 +2,7 @@
 
 A text is lower-cased (A-Z) and cut into words.  One Aho-Corasick automaton over the words, one
 space between them, finds every phrase whose words stand consecutively, overlapping ones too.
-Where it finds an identifier tag, the rest of that line is read as a licence expression: ``and``,
+Where it finds an identifier tag, the rest of that line, up to a next tag, is read as a licence expression: ``and``,
 ``or``, ``with``, parentheses and identifiers, ``with`` binding strongest, then ``and``.
 
 Freedom of a licence is a number from 0 (all rights reserved) to 1 (permissive).  In an
@@ -78,7 +78,8 @@ _WORDS = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
     for c in range(256)
 )
-_TAG = re.compile(r"(?:spdx-license-identifier|licen[cs]e[ -]expression)[ \t]*[:=]?[ \t]*([^\n\r]*)", re.I)
+_WORD = re.compile(rb"[^ ]+")
+_REST = re.compile(rb"[ \t]*[:=]?[ \t]*([^\n\r]*)")
 _LEXEME = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+\-]*")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
@@ -161,10 +162,13 @@ def automaton() -> ahocorasick.Automaton:
 
 def scan_text(text: str) -> dict:
     """What one text states; see ``scan`` for the fields."""
-    words = text.encode("utf-8", "replace").translate(_WORDS).split()
+    data = text.encode("utf-8", "replace")
+    plain = data.translate(_WORDS)
+    words = plain.split()
     line = (b" " + b" ".join(words) + b" ").decode("utf-8")
     n_base, first, last = 0, None, None
-    base, labels, tagged = set(), set(), False
+    base, labels = set(), set()
+    tags: list[tuple[int, int]] = []
     spans: list[tuple[int, int, float]] = []
     for end, (phrase, label, free, is_base) in automaton().iter(line):
         start = end - len(phrase) - 1
@@ -175,17 +179,21 @@ def scan_text(text: str) -> dict:
             last = place if last is None else max(last, place)
             base.add(label)
         if free is None:
-            tagged = True
+            place = line.count(" ", 0, start + 1) - 1
+            tags.append((place, place + phrase.count(" ")))
         else:
             labels.add(label)
             spans.append((start, end, free))
     free = _outer(spans)
     expressions = []
-    if tagged:
-        for m in _TAG.finditer(text):
-            found = evaluate(m[1])
+    if tags:
+        at = [m.span() for m in _WORD.finditer(plain)]
+        limits = [at[first_of][0] for first_of, _ in tags[1:]] + [len(data)]
+        for (_, last_of), limit in zip(tags, limits):
+            rest = _REST.match(data, at[last_of][1], limit)[1].decode("utf-8", "replace")
+            found = evaluate(rest)
             if found.names:
-                expressions.append(" ".join(m[1].split()))
+                expressions.append(" ".join(rest.split()))
                 labels.update(found.names)
                 free.append(found.freedom)
     return {

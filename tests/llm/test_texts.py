@@ -79,6 +79,18 @@ def test_licence_labels_and_score():
     assert licenses.scan_text("nothing here")["score"] == licenses.UNSTATED
 
 
+@pytest.mark.parametrize("text, labels, expressions", [
+    ("SPDX License Identifier: GPL-3.0-only\nMIT", "gpl-3.0-only", ["GPL-3.0-only"]),
+    ("é \ud800 SPDX_License_Identifier = MIT é\r\nGPL-2.0", "mit", ["MIT é"]),
+    ("licence: expression (MIT OR ISC)", "isc,mit", ["(MIT OR ISC)"]),
+    ("License-Expression: MIT; license expression: GPL-3.0-only", "gpl-3.0-only,mit", ["MIT;", "GPL-3.0-only"]),
+    ("SPDX-License-Identifier:", "", []),
+])
+def test_licence_tags_in_all_spellings(text, labels, expressions):
+    found = licenses.scan_text(text)
+    assert (found["labels"], found["expressions"]) == (labels, expressions)
+
+
 # Decontamination -----------------------------------------------------------------------------
 
 
