@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsieve.llm import boilerplate, chat, chunks, dac, decontam, licenses, pieces, resample, simhash, surrogates
+from gridsieve.llm import (
+    boilerplate,
+    chat,
+    chunks,
+    dac,
+    decontam,
+    licenses,
+    merkle,
+    pieces,
+    resample,
+    simhash,
+    surrogates,
+)
 
 # Two rows of every run of op9_chat besides the table: the escapes have to survive in both roles.
 _PROBE = r"\### Assistant: </turn> ok"
@@ -73,6 +85,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_code(F.col("code")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -84,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLES: dict[str, str] = {
@@ -121,4 +138,74 @@ ORACLES: dict[str, str] = {
         from marked
         group by conv_id
     """,
+    "op11_merkle": """
+        with recursive rows as (
+            select doc_id, source, text,
+                   coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head,
+                   xor(4294967295, list_reduce(
+                       list_prepend(4294967295::bigint,
+                           list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                       lambda crc, byte: list_reduce(
+                           list_prepend(xor(crc, byte), range(8)),
+                           lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) as crc
+            from documents
+        ), leaves as (
+            select doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+                   sha256(head || coalesce(strlen(text) || ':' || case when crc % 5 = 0
+                       then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                       else text end, '-')) as seen
+            from rows
+        ), placed as (
+            select *, coalesce('=' || source, '') as tree,
+                   row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as spot
+            from leaves
+        ), lower(level, tree, spot, node, n) as (
+            select 0, tree, spot, leaf, count(*) over (partition by tree) from placed
+            union all
+            select any_value(level) + 1, tree, spot // 16, sha256(string_agg(node, '' order by spot)), (any_value(n) + 15) // 16
+            from lower where n > 1 group by tree, spot // 16
+        ), subroots as (
+            select tree, node as subroot, level as height, row_number() over (order by encode(tree)) - 1 as rank
+            from lower where n = 1
+        ), upper(level, spot, node, n) as (
+            select 0, rank, subroot, count(*) over () from subroots
+            union all
+            select any_value(level) + 1, spot // 16, sha256(string_agg(node, '' order by spot)), (any_value(n) + 15) // 16
+            from upper where n > 1 group by spot // 16
+        ), runs as (
+            select tree, level, spot // 16 as run, list(node order by spot) as nodes from lower where n > 1 group by all
+            union all
+            select 'upper', level, spot // 16, list(node order by spot) from upper where n > 1 group by all
+        ), steps as (
+            -- one row for each document and level: its run and its place there
+            select p.doc_id, p.leaf, p.spot as place, p.tree, r.level as step,
+                   (p.spot // (16 ** r.level)::bigint) % 16 as k, r.nodes
+            from placed p join runs r on r.tree = p.tree and r.run = p.spot // (16 ** (r.level + 1))::bigint
+            union all
+            select p.doc_id, p.leaf, p.spot, p.tree, s.height + r.level,
+                   (s.rank // (16 ** r.level)::bigint) % 16, r.nodes
+            from placed p join subroots s on s.tree = p.tree
+            join runs r on r.tree = 'upper' and r.run = s.rank // (16 ** (r.level + 1))::bigint
+        ), proofs as (
+            select tree, place,
+                   string_agg(array_to_string(nodes[:k] || nodes[k + 2:], ''), '' order by step) as proof
+            from steps group by all
+        ), folded(tree, place, step, node) as (
+            select tree, spot, 0, seen from placed
+            union all
+            select f.tree, f.place, f.step + 1, sha256(array_to_string(s.nodes[:s.k] || [f.node] || s.nodes[s.k + 2:], ''))
+            from folded f join steps s on s.tree = f.tree and s.place = f.place and s.step = f.step
+        )
+        select p.doc_id, p.source, p.leaf, s.subroot, u.node as root,
+               sha256(coalesce(q.proof, '')) as proof_sha256, f.node as folded_root, f.node = u.node as verified
+        from placed p
+        join subroots s on s.tree = p.tree
+        cross join (select node from upper where n = 1) u
+        left join proofs q on q.tree = p.tree and q.place = p.spot
+        join (select tree, place, arg_max(node, step) as node from folded group by all) f
+          on f.tree = p.tree and f.place = p.spot
+    """,
 }

@@ -1,0 +1,119 @@
+"""The manifest against plain hashing, over awkward rows, sizes around the block, and its SQL."""
+
+import hashlib
+import zlib
+
+import pytest
+from cases import TEXTS, documents, nothing, pairs
+from pyspark.sql import functions as F
+
+from checks.compare import _rows, connect
+from gridsieve.llm import merkle
+from gridsieve.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def h(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_leaf(row):
+    return h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def climb(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([h("".join(last[i : i + 16])) for i in range(0, len(last), 16)])
+    return levels
+
+
+def siblings(levels, at):
+    out = []
+    for level in levels[:-1]:
+        start = at - at % 16
+        out.append((level[start:at], level[at + 1 : start + 16]))
+        at //= 16
+    return out
+
+
+def plain_manifest(rows):
+    """rows: (doc_id, source, lang, n_chars, text)."""
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[1], []).append(row)
+    sources = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    for s in sources:
+        groups[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, plain_leaf(r)))
+    trees = {s: climb([plain_leaf(r) for r in groups[s]]) for s in sources}
+    upper = climb([trees[s][-1][0] for s in sources])
+    out = []
+    for k, s in enumerate(sources):
+        for at, row in enumerate(groups[s]):
+            path = siblings(trees[s], at) + siblings(upper, k)
+            now = plain_leaf(row)
+            if row[0] is not None and row[4] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0:
+                low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in row[4])
+                now = plain_leaf((*row[:4], low))
+            for left, right in path:
+                now = h("".join([*left, now, *right]))
+            proof = h("".join("".join(a) + "".join(b) for a, b in path))
+            root = upper[-1][0]
+            out.append((row[0], plain_leaf(row), trees[s][-1][0], root, proof, now, now == root))
+    return sorted(out, key=lambda r: tuple((v is not None, v) for v in r))
+
+
+COLUMNS = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def test_awkward_rows(spark):
+    rows = [(i, ["b", None, "ä", "", "Z"][k % 5], "en" if k % 3 else None, k if k % 4 else None, t) for k, (i, t) in enumerate(TEXTS)]
+    docs = spark.createDataFrame(
+        [(*r, 7, 7) for r in rows], "doc_id long, source string, lang string, n_chars long, text string, group int, node int"
+    ).repartition(3)
+    found = pairs(merkle.manifest(docs), *COLUMNS)
+    assert found == plain_manifest(rows)
+    assert merkle.manifest(nothing(spark)).count() == 0
+    # columns that are absent count as null
+    bare = [(i, None, None, None, t) for i, t in TEXTS]
+    assert pairs(merkle.manifest(documents(spark)), *COLUMNS) == plain_manifest(bare)
+
+
+@pytest.mark.parametrize("sizes", [(1,), (2, 1), (15, 16, 17), (255, 256, 257, 272), (4096, 1), (4113, 300, 3)])
+def test_sizes_around_blocks(spark, sizes):
+    rows = [(k * 100_000 + i, f"s{k}", "en", i, f"Text {i}") for k, n in enumerate(sizes) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(5)
+    found = pairs(merkle.manifest(docs), *COLUMNS)
+    assert found == plain_manifest(rows)
+    assert sum(sizes) < 20 or 0 < sum(r[-1] for r in found) < len(found)
+
+
+def test_many_sources(spark):
+    rows = [(i, f"s{i % 700:03}", "en", 1, "A" * (i % 5)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(7)
+    assert pairs(merkle.manifest(docs), *COLUMNS) == plain_manifest(rows)
+
+
+def test_a_source_over_many_partitions_and_hot_ids(spark):
+    rows = [(5 if i % 3 else i, "hot" if i % 2 else f"s{i % 7}", None, i, "x") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(16)
+    assert pairs(merkle.manifest(docs), *COLUMNS) == plain_manifest(rows)
+
+
+def test_query_matches_sql(spark):
+    kinds, got = _rows(QUERIES["op11_merkle"](spark, SF).toArrow())
+    expected_kinds, expected = _rows(connect(SF).sql(ORACLES["op11_merkle"]).to_arrow_table())
+    assert kinds == expected_kinds and got == expected
+
+
+def test_proof_of_one_row_alone(spark):
+    """A stored proof convicts a changed text without the rest of the table."""
+    docs = spark.createDataFrame([(i, "s", "en", 1, f"T{i}") for i in range(40)], "doc_id long, source string, lang string, n_chars long, text string")
+    row = merkle.manifest(docs).where("doc_id = 3").first()
+    path = siblings(climb([plain_leaf((i, "s", "en", 1, f"T{i}")) for i in range(40)]), 3)
+    segments = F.array(*[F.struct(F.lit("".join(a)).alias("left"), F.lit("".join(b)).alias("right")) for a, b in path])
+    for text, same in (("T3", True), ("t3", False)):
+        node = F.lit(plain_leaf((3, "s", "en", 1, text)))
+        assert (spark.range(1).select(merkle.fold(node, segments).alias("r")).first()["r"] == row["root"]) is same
