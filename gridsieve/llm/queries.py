@@ -19,6 +19,7 @@ from gridsieve.llm import (
     resample,
     simhash,
     surrogates,
+    urlfilter,
 )
 
 # Two rows of every run of op9_chat besides the table: the escapes have to survive in both roles.
@@ -89,6 +90,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, urlfilter.rule_table(spark), urlfilter.named_hosts(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
     "op11_merkle": op11_merkle,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLES: dict[str, str] = {
@@ -208,4 +215,33 @@ ORACLES: dict[str, str] = {
         join (select tree, place, arg_max(node, step) as node from folded group by all) f
           on f.tree = p.tree and f.place = p.spot
     """,
+    "op13_url_filter": """
+        with rests as (
+            select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+            from pages
+        ), parts as (
+            select page_id,
+                   translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                   regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) as path
+            from rests
+        ), ruled as (
+            select *,
+                   case when ('.' || host) like '%.example.net' and path like '/en/%' then 'example.net/en/'
+                        when ('.' || host) like '%.example.com' and path like '/de/%' then 'example.com/de/'
+                        when ('.' || host) like '%.org' and path like '/fr/%' then 'org/fr/'
+                        when ('.' || host) like '%.net' and path like '/%' then 'net/' end as rule,
+                   regexp_matches(host, '(^|[.\\-0-9])(adult|bets|casino|cheap|escort|gambling|pills|poker|porn|spam|viagra|xxx)([.\\-0-9]|$)') as named
+            from parts
+        )
+        select page_id, host, path, rule,
+               case when rule in ('net/', 'example.com/de/') then 'block' when rule is not null then 'allow'
+                    when l.host_listed is not null then 'block' else 'allow' end as verdict,
+               l.host_listed as listed
+        from ruled r
+        left join lateral (
+            select max(host) as host_listed from (
+                select distinct n.host from ruled n where n.named
+            ) n where r.host = n.host
+        ) l on true
+    """,
 }
