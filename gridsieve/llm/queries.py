@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsieve.llm import (
+    alignment,
     boilerplate,
     chat,
     chunks,
@@ -90,6 +91,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return urlfilter.judge(pages, urlfilter.rule_table(spark), urlfilter.named_hosts(pages))
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_simhash": op10_simhash,
     "op11_merkle": op11_merkle,
+    "op12_alignment": op12_alignment,
     "op13_url_filter": op13_url_filter,
 }
 
