@@ -39,6 +39,12 @@ def feature(name: str) -> dict:
     }
 
 
+def parts_feature(*names: str) -> dict:
+    """One area whose parts are several of the test areas."""
+    parts = [feature(n)["geometry"]["coordinates"] for n in names]
+    return {"type": "Feature", "properties": {}, "geometry": {"type": "MultiPolygon", "coordinates": parts}}
+
+
 def edges(spark: SparkSession, *names: str) -> DataFrame:
     return area_edges(areas_from_features(spark, [(n, feature(n)) for n in names]))
 

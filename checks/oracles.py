@@ -436,6 +436,17 @@ FROM customer""",
     "bbox_clip": f"SELECT x, y, time, v FROM ({inp.GRID_SQL}) WHERE {_in_box('A1')}",
     "clip_touch": _clip_sql("x, y, time, v", ("A1",), TOUCH),
     "clip_centre": _clip_sql("x, y, time, v", ("A1",), "inside"),
+    "clip_parts": f"""
+        WITH mask AS ({mask_sql(inp.edges_sql('A1', 'A2', 'A4'), f'SELECT DISTINCT x, y FROM ({inp.GRID_SQL})')}),
+        united AS (SELECT x, y, bool_or(inside) AS inside, bool_or(inside OR touched) AS touched FROM mask GROUP BY x, y)
+        SELECT 'parts' AS area_id, x, y, time, v, touches
+        FROM ({inp.GRID_SQL}) g JOIN united USING (x, y), (VALUES (true), (false)) AS t(touches)
+        WHERE CASE WHEN touches THEN touched ELSE inside END
+    """,
+    "request_flags": """
+        SELECT o_orderkey AS request_id, o_orderkey % 7 NOT IN (4, 5) AS valid, o_orderkey % 7 NOT IN (1, 2) AS cell_touches
+        FROM orders
+    """,
     "clip_hole": _clip_sql("x, y, time, v", ("A2",), "inside"),
     "clip_dense": CLIP_DENSE,
     "clip_long_dropna": _clip_sql("time, x, y, v, w", ("A1",), TOUCH, "WHERE w IS NOT NULL AND v IS NOT NULL"),

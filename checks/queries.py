@@ -357,6 +357,17 @@ def clip_long_dropna(spark: SparkSession, sf: str) -> DataFrame:
     return gs.drop_incomplete(clipped, ["time", "x", "y", "v", "w"])
 
 
+def clip_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """An area of parts that overlap, by both rules: what two parts cover is covered."""
+    area = gs.area_edges(gs.areas_from_features(spark, [("parts", inp.parts_feature("A1", "A2", "A4"))]))
+    return gs.concat_frames(
+        [
+            gs.clip_many(_cells(spark, sf), area, inp.RES, touches).withColumn("touches", F.lit(touches))
+            for touches in (True, False)
+        ]
+    )
+
+
 def clip_many_areas(spark: SparkSession, sf: str) -> DataFrame:
     return gs.clip_many(_cells(spark, sf), inp.nation_edges(spark, sf), inp.RES)
 
@@ -572,6 +583,17 @@ def request_valid(spark: SparkSession, sf: str) -> DataFrame:
     return gs.parse_requests(documents, "doc").select("request_id", "valid")
 
 
+def request_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Touch flags in several spellings; those that cannot be read make a request invalid."""
+    order = F.col("o_orderkey")
+    flag = F.element_at(F.array(*[F.lit(f) for f in ("true", "false", '"no"', "1", '"maybe"', "2", "null")]), (order % 7 + 1).cast("int"))
+    documents = inp.table(spark, sf, "orders").select(
+        order.alias("request_id"),
+        F.concat(F.lit('{"t": {"parameters": {"dataset_ids": [1], "cell_touches": '), flag, F.lit("}}}")).alias("doc"),
+    )
+    return gs.parse_requests(documents, "doc").select("request_id", "valid", "cell_touches")
+
+
 def area_status(spark: SparkSession, sf: str) -> DataFrame:
     texts = inp.table(spark, sf, "customer").select("c_custkey", inp.odd_feature(F.col("c_custkey") % 5).alias("text"))
     return areas.area_status(gs.read_features(texts, "text", "c_custkey"))
@@ -640,6 +662,6 @@ QUERIES: dict[str, Query] = {
         output_name, csv_roundtrip, parquet_roundtrip, grid_write_ignore, metadata_json,
         raw_copy_manifest, area_vertices, run_report, run_report_totals, request_valid, area_status,
         area_parts, request_fanout_ids, catalog_create_records, raster_mosaic_bands, raster_crop_bands,
-        raster_mask_bands,
+        raster_mask_bands, clip_parts, request_flags,
     )
 }

@@ -23,15 +23,23 @@ GEOMETRIES = ("Polygon", "MultiPolygon")
 def feature_of(text: Column) -> Column:
     """A GeoJSON Feature; a MultiPolygon holds the rings of all its parts in one list.
 
-    The clip rules count crossings over all rings, so parts and holes need no telling apart.
+    ``parts`` tells the part of each ring: crossings are counted part by part, so that what
+    several parts cover stays covered.
     """
-    whole, parts = F.from_json(text, FEATURE), F.from_json(text, FEATURE_OF_PARTS)
-    geometry = F.struct(
-        parts["geometry"]["type"].alias("type"),
-        F.flatten(parts["geometry"]["coordinates"]).alias("coordinates"),
-    )
-    joined = F.struct(parts["type"].alias("type"), parts["properties"].alias("properties"), geometry.alias("geometry"))
-    return F.when(parts["geometry"]["type"] == "MultiPolygon", joined).otherwise(whole)
+    whole, several = F.from_json(text, FEATURE), F.from_json(text, FEATURE_OF_PARTS)
+
+    def feature(parsed: Column, rings: Column, parts: Column) -> Column:
+        geometry = F.struct(parsed["geometry"]["type"].alias("type"), rings.alias("coordinates"), parts.alias("parts"))
+        known = F.when(parsed["geometry"].isNotNull(), geometry)
+        built = F.struct(parsed["type"].alias("type"), parsed["properties"].alias("properties"), known.alias("geometry"))
+        return F.when(parsed.isNotNull(), built)
+
+    rings = several["geometry"]["coordinates"]
+    numbers = F.flatten(F.transform(rings, lambda part, i: F.transform(part, lambda ring: i)))
+    one = whole["geometry"]["coordinates"]
+    return F.when(
+        several["geometry"]["type"] == "MultiPolygon", feature(several, F.flatten(rings), numbers)
+    ).otherwise(feature(whole, one, F.transform(one, lambda ring: F.lit(0))))
 
 
 def is_area(feature: Column) -> Column:
@@ -91,9 +99,9 @@ _NEIGHBOURS = (
 def _rings(areas: DataFrame) -> DataFrame:
     return (
         areas.where(is_area(F.col("feature")))
-        .selectExpr("area_id", "posexplode(feature.geometry.coordinates) AS (ring, points)")
+        .selectExpr("area_id", "feature.geometry.parts", "posexplode(feature.geometry.coordinates) AS (ring, points)")
         .where("size(points) > 0")
-        .selectExpr("area_id", "ring", _CLOSED)
+        .selectExpr("area_id", "get(parts, ring) AS part", "ring", _CLOSED)
     )
 
 
@@ -107,18 +115,18 @@ def area_vertices(areas: DataFrame) -> DataFrame:
 
 
 def area_edges(areas: DataFrame, target: int | LambertConformal = 4326) -> DataFrame:
-    """Edges ``(area_id, ring, x1, y1, x2, y2)`` in the coordinate system ``target``.
+    """Edges ``(area_id, part, ring, x1, y1, x2, y2)`` in the coordinate system ``target``.
 
     Rings are closed when the input leaves them open; heights are ignored.  The
     rings stay in their row while edges are cut out of them, so nothing shuffles.
     """
-    edges = _rings(areas).selectExpr("area_id", "ring", _NEIGHBOURS)
+    edges = _rings(areas).selectExpr("area_id", "part", "ring", _NEIGHBOURS)
     if target == 4326:
         return edges
     x1, y1 = project(F.col("x1"), F.col("y1"), target)
     x2, y2 = project(F.col("x2"), F.col("y2"), target)
     return edges.select(
-        "area_id", "ring", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2")
+        "area_id", "part", "ring", x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2")
     )
 
 
@@ -131,6 +139,34 @@ def vertex_lines(areas: DataFrame) -> DataFrame:
     )
 
 
+def feature_lines(areas: DataFrame) -> DataFrame:
+    """One line with a GeoJSON FeatureCollection of each area, in order of the areas.
+
+    A part is a ring and its holes again, as the area was given.
+    """
+    geometry = F.col("feature.geometry")
+    parts = F.transform(
+        F.array_distinct(geometry["parts"]),
+        lambda part: F.filter(geometry["coordinates"], lambda ring, i: F.get(geometry["parts"], i) == part),
+    )
+
+    def collection(coordinates: Column) -> Column:
+        shape = F.struct(geometry["type"].alias("type"), coordinates.alias("coordinates"))
+        one = F.struct(
+            F.lit("Feature").alias("type"),
+            F.coalesce("feature.properties", F.create_map().cast("map<string,string>")).alias("properties"),
+            shape.alias("geometry"),
+        )
+        return F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array(one).alias("features")))
+
+    several = geometry["type"] == "MultiPolygon"
+    return (
+        areas.where(is_area(F.col("feature")))
+        .orderBy("area_id")
+        .select(F.when(several, collection(parts)).otherwise(collection(geometry["coordinates"])).alias("value"))
+    )
+
+
 def area_boxes(edges: DataFrame) -> DataFrame:
     """One bounding box per area."""
     return edges.groupBy("area_id").agg(
@@ -152,6 +188,7 @@ class Extent:
     areas: int
     edges: int
     spans: int
+    parts: int = 1
 
     @property
     def empty(self) -> bool:
@@ -178,12 +215,13 @@ def measure(edges: DataFrame, hx: float, hy: float, bucket: float) -> Extent:
             F.expr("max(greatest(x1, x2)) AS xmax"),
             F.expr("max(greatest(y1, y2)) AS ymax"),
             F.expr("count(*) AS edges"),
+            F.expr("max(part) + 1 AS parts" if "part" in edges.columns else "1 AS parts"),
             F.expr(f"sum(ceil((abs(y2 - y1) + {2 * hy!r}D) / {2 * hy!r}D) + 3) AS reach"),
         )
     )
     row = per_area.selectExpr(
         "min(xmin) AS xmin", "min(ymin) AS ymin", "max(xmax) AS xmax", "max(ymax) AS ymax",
-        "count(*) AS areas", "coalesce(sum(edges), 0) AS edges",
+        "count(*) AS areas", "coalesce(sum(edges), 0) AS edges", "coalesce(max(parts), 1) AS parts",
         f"coalesce(sum(2 * reach * (ceil((xmax - xmin + {2 * hx!r}D) / {bucket!r}D) + 2)), 0) AS spans",
     ).first()
-    return Extent(**{k: row[k] for k in ("xmin", "ymin", "xmax", "ymax", "areas", "edges", "spans")})
+    return Extent(**{k: row[k] for k in ("xmin", "ymin", "xmax", "ymax", "areas", "edges", "spans", "parts")})

@@ -26,30 +26,48 @@ from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join, materialise
 # at a corner or along its side counts as contact whatever the rounding.
 CONTACT = 1.0 + 1e-9
 
+# Parts of the mean gap between coordinates: below the first a gap is one of rounding, below the
+# second the axis has no common cell size.
+ROUNDING_GAP = 1e-6
+IRREGULAR_GAP = 1e-4
+
 # Width of an x-bucket in cells.  A span is repeated once per bucket it covers,
 # and a data row only meets the areas that reach its bucket.
 BUCKET_CELLS = 64
 
 
 def cell_size(df: DataFrame, column: str) -> float:
-    """Smallest positive gap between the distinct coordinates of a column.
+    """Smallest gap between the distinct coordinates of a column, but for gaps of rounding.
 
-    Only for a regular axis whose size is unknown.  The distinct values are
-    range-partitioned, so only the values at partition borders meet in one task.
+    Only for a regular axis whose size is unknown.  Gaps below a millionth of the mean gap are
+    one coordinate that was worked out in two ways.  An axis on which the smallest gap is less than
+    a ten-thousandth of the mean one is refused, as its cells have no common size.  The distinct values
+    are range-partitioned, so only the values at partition borders meet in one task.
     """
     axis = df.where(F.col(column).isNotNull()).select(F.col(column).alias("v")).distinct()
     placed = axis.repartitionByRange("v").withColumn("slot", F.spark_partition_id())
     inside = placed.select(
         "slot", "v", (F.lead("v").over(Window.partitionBy("slot").orderBy("v")) - F.col("v")).alias("gap")
     )
+    # written once, as the mean gap has to be known first
+    inside = materialise(inside)
+    known = inside.agg(F.count("*").alias("n"), (F.max("v") - F.min("v")).alias("width")).first()
+    if known["n"] < 2:
+        raise ValueError(f"{column} has fewer than two distinct values; give the cell size")
+    mean = float(known["width"]) / (known["n"] - 1)
+    gap = F.when(F.col("gap") > mean * ROUNDING_GAP, F.col("gap"))
     per_slot = inside.groupBy("slot").agg(
-        F.min("gap").alias("gap"), F.min("v").alias("first"), F.max("v").alias("last")
+        F.min(gap).alias("gap"), F.count(gap).alias("gaps"), F.min("v").alias("first"), F.max("v").alias("last")
     )
     # one row per partition
     across = F.lead("first").over(Window.orderBy("slot")) - F.col("last")
-    row = per_slot.select(F.least("gap", across).alias("gap")).agg(F.min("gap").alias("gap")).first()
-    if row["gap"] is None:
-        raise ValueError(f"{column} has fewer than two distinct values; give the cell size")
+    apart = F.when(across > mean * ROUNDING_GAP, across)
+    row = per_slot.select(F.least("gap", apart).alias("gap"), (F.col("gaps") + apart.isNotNull().cast("long")).alias("gaps")).agg(
+        F.min("gap").alias("gap"), F.sum("gaps").alias("gaps")
+    ).first()
+    # the mean over the gaps that are none of rounding
+    if row["gap"] < float(known["width"]) / row["gaps"] * IRREGULAR_GAP:
+        raise ValueError(f"{column} has no common cell size (a gap of {row['gap']}); give the cell size")
     return float(row["gap"])
 
 
@@ -65,10 +83,11 @@ def row_spans(
     rows: DataFrame,
     edges: DataFrame,
     keys: Sequence[str],
-    band: float,
+    band: float | Sequence[float],
     touches: bool,
     n_rows: int,
     limit: int = BROADCAST_ROW_LIMIT,
+    several_parts: bool = True,
 ) -> DataFrame:
     """Disjoint intervals ``(area_id, *keys, lo, hi)`` of kept cell centres per row.
 
@@ -76,22 +95,31 @@ def row_spans(
     its centre, ``hx`` and ``hy`` are half cell sizes.  A column ``area_id`` in it
     ties a row to one area; without it a row is tested against all areas.  Rows and edges are matched
     through horizontal bands of height ``band``; an edge is listed only in the
-    bands it reaches, so the matches are about as many as the answer needs.
-    ``n_rows`` bounds the number of rows.
+    bands it reaches, so the matches are about as many as the answer needs.  Several heights
+    may be given for rows of very different cells, which then have their own in ``band_height``.
+    ``n_rows`` bounds the number of rows.  Inside is counted part by part, and the
+    intervals of all parts are merged (``several_parts`` tells whether an area has more than one).
     """
+    heights = [band] if isinstance(band, float) else list(band)
+    part = "part" if "part" in edges.columns else "0 AS part"
     # an edge reaches the rows whose cells it meets; the small pad covers rounding at
     # a band border, and the exact test follows
-    grow = band / 2.0 if touches else 0.0
+    grow = "band_height / 2" if touches else "0D"
+    listed = ", ".join(f"{h!r}D" for h in heights)
     banded_edges = edges.selectExpr(
-        "area_id", "x1", "y1", "x2", "y2",
-        f"explode(sequence(floor((least(y1, y2) - {grow!r}D) / {band!r}D - 1e-6D), "
-        f"floor((greatest(y1, y2) + {grow!r}D) / {band!r}D + 1e-6D))) AS band",
+        "area_id", part, "x1", "y1", "x2", "y2", f"explode(array({listed})) AS band_height"
+    ).selectExpr(
+        "*",
+        f"explode(sequence(floor((least(y1, y2) - {grow}) / band_height - 1e-6D), "
+        f"floor((greatest(y1, y2) + {grow}) / band_height + 1e-6D))) AS band",
     )
-    banded_rows = rows.selectExpr("*", f"floor(row_y / {band!r}D) AS band")
-    on = ["area_id", "band"] if "area_id" in rows.columns else ["band"]
+    if isinstance(band, float):
+        rows = rows.withColumn("band_height", F.lit(band))
+    banded_rows = rows.selectExpr("*", "floor(row_y / band_height) AS band")
+    on = ["band_height", "band", *(["area_id"] if "area_id" in rows.columns else [])]
     keys = [k for k in keys if k != "area_id"]
     group = ["area_id", *keys]
-    window = "PARTITION BY " + ", ".join(f"`{g}`" for g in group)
+    window = "PARTITION BY " + ", ".join(f"`{g}`" for g in [*group, "part"])
     crosses = "(y1 > row_y) <> (y2 > row_y)"
     near = "row_y - hy <= greatest(y1, y2) AND row_y + hy >= least(y1, y2)"
     pairs = lookup_join(
@@ -105,25 +133,26 @@ def row_spans(
     )
     opens = "cross IS NOT NULL AND nth % 2 = 1 AND next_cross > cross"
     if not touches:
-        return (
-            pairs.selectExpr(*group, cross)
-            .selectExpr(*group, "cross", *order)
+        inside = (
+            pairs.selectExpr(*group, "part", cross)
+            .selectExpr(*group, "part", "cross", *order)
             .where(opens)
             .selectExpr(*group, "cross AS lo", "next_cross AS hi")
         )
+        return merge_spans(inside, group) if several_parts else inside
     # the x-range of the edge where it passes the height of the row
     reach = pairs.selectExpr(
-        *group, "hx", cross,
+        *group, "part", "hx", cross,
         "least(x1, x2) AS x_min", "greatest(x1, x2) AS x_max", "y1 = y2 AS flat",
         "greatest(row_y - hy, least(y1, y2)) AS bottom", "least(row_y + hy, greatest(y1, y2)) AS top",
         f"{_x_at('bottom')} AS x_bottom", f"{_x_at('top')} AS x_top",
     ).selectExpr(
-        *group, "cross",
+        *group, "part", "cross",
         "if(flat, x_min, greatest(least(x_bottom, x_top), x_min)) - hx AS left_x",
         "if(flat, x_max, least(greatest(x_bottom, x_top), x_max)) + hx AS right_x",
     )
     # the edge's own interval, and the inside interval that starts at its crossing
-    parts = reach.selectExpr(*group, "cross", "left_x", "right_x", *order).selectExpr(
+    parts = reach.selectExpr(*group, "part", "cross", "left_x", "right_x", *order).selectExpr(
         *group,
         f"inline(CASE WHEN {opens} "
         "THEN array(struct(left_x AS lo, right_x AS hi), struct(cross AS lo, next_cross AS hi)) "
@@ -188,10 +217,11 @@ def cell_spans(
     touches: bool,
     n_rows: int,
     limit: int = BROADCAST_ROW_LIMIT,
+    several_parts: bool = True,
 ) -> DataFrame:
     """Spans ``(area_id, row_y, bucket, lo, hi)`` for distinct row coordinates ``row_y``."""
     sized = rows.select("row_y", F.lit(hx).alias("hx"), F.lit(hy).alias("hy"))
-    spans = row_spans(sized, edges, ["row_y"], 2.0 * hy, touches, n_rows, limit)
+    spans = row_spans(sized, edges, ["row_y"], 2.0 * hy, touches, n_rows, limit, several_parts)
     width = bucket_width(hx)
     buckets = f"explode(sequence(floor(lo / {width!r}D), floor(hi / {width!r}D))) AS bucket"
     return spans.selectExpr("*", buckets)
@@ -219,7 +249,7 @@ def _clip_join(
     # scattered coordinates have more rows than a regular grid in the box, so they are counted
     axis = materialise(axis)
     n_rows = axis.count()
-    spans = cell_spans(axis, edges, hx, hy, touches, n_rows, limit)
+    spans = cell_spans(axis, edges, hx, hy, touches, n_rows, limit, extent.parts > 1)
     if how != "inner":
         spans = spans.drop("area_id")
     if how == "left_outer" and extent.areas > 1:

@@ -7,11 +7,14 @@ several bands, ``band``; a band is carried through every operator.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from gridsieve.operators.clip import CONTACT, row_spans
-from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join, materialise
+from gridsieve.scale import BROADCAST_ROW_LIMIT, lookup_join, materialise, number_in_order
 
 # Fixed value: marks masked pixels of a tile that names no value of its own.
 DEFAULT_NODATA = -9999.0
@@ -179,6 +182,11 @@ def raster_crop(
     return joined.select("area_id", "tile_id", *_bands(pixels), *_from_corner(), "value")
 
 
+def _band_height() -> Column:
+    """The power of two that is at least the height of a row, with its allowance for contact."""
+    return F.pow(F.lit(2.0), F.ceil(F.log2(F.col("res_y") * CONTACT)))
+
+
 def raster_mask(
     pixels: DataFrame,
     windows: DataFrame,
@@ -199,15 +207,17 @@ def raster_mask(
         pixel_y(F.col("row")).alias("row_y"),
         (F.col("res_x") / 2 * CONTACT).alias("hx"),
         (F.col("res_y") / 2 * CONTACT).alias("hy"),
+        _band_height().alias("band_height"),
     )
+    # bands as high as the next power of two of a row, so edges are cut once for each size class of rows
     known = windows.agg(
-        F.coalesce(F.max("res_y"), F.lit(1.0)).alias("band"),
+        F.sort_array(F.collect_set(_band_height())).alias("bands"),
         F.coalesce(F.sum("new_height"), F.lit(0)).alias("rows"),
     ).first()
     # the spans come from tile rows, so counting them does not read the pixels
     spans = materialise(
         row_spans(
-            rows, edges, ["tile_id", "row"], known["band"] * CONTACT, touches, known["rows"], limit
+            rows, edges, ["tile_id", "row"], known["bands"] or [1.0], touches, known["rows"], limit
         )
     )
     fill = F.coalesce(F.col("nodata"), F.lit(DEFAULT_NODATA)).alias("fill")
@@ -240,37 +250,94 @@ def raster_mosaic(
     """Nearest-neighbour mosaic on a target lattice with its corner at ``x0, y0``.
 
     Where several valid pixels of a band fall on one target cell the nearest centre wins,
-    then the lowest tile id, then the lowest row and column.
+    then the lowest tile id, then the lowest row and column.  Distances are equal where they differ
+    by less than their rounding.
 
-    Only pixels that may share a cell are grouped: those near another tile, and those of
-    tiles finer than the lattice.  All others are alone in their cell and pass through
-    without a shuffle.
+    The precedence of a pixel within its cell is one number, so the winners are found by a hash
+    aggregate with partial results in every task.  Where tiles share less than half of the area
+    only pixels that may share a cell are grouped: those near another tile, and those of tiles finer
+    than the lattice.  All others are alone in their cell and pass through without a shuffle.
     """
-    count = tiles.count()
+    x0, y0, res = float(x0), float(y0), float(res)
+    tiles, ranked = _ranked(tiles)
+    known = tiles.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.col("width") * F.col("height")), F.lit(0)).alias("pixels"),
+        F.coalesce(F.max(ranked) - F.min(ranked), F.lit(0)).alias("ranks"),
+        F.coalesce(F.min(ranked), F.lit(0)).alias("first"),
+        F.coalesce(F.max(res / F.least("res_x", "res_y")), F.lit(1.0)).alias("finer"),
+    ).first()
     described = tiles.select(
-        "tile_id", *_GEOMETRY, F.coalesce(F.col("nodata"), F.lit(DEFAULT_NODATA)).alias("fill")
+        "tile_id", (ranked - known["first"]).alias("rank"), *_GEOMETRY,
+        F.coalesce("nodata", F.lit(DEFAULT_NODATA)).alias("fill"),
     )
     bands = _bands(pixels)
+    precedence = _precedence(x0, y0, res, known["ranks"], known["finer"])
 
     def placed(part: DataFrame) -> DataFrame:
-        """Valid pixels with their target cell."""
-        joined = lookup_join(part, described, ["tile_id"], "inner", count, limit=limit)
+        """Valid pixels with their target cell and their precedence in it."""
+        joined = lookup_join(part, described, ["tile_id"], "inner", known["n"], limit=limit)
         valid = joined.where(F.col("value").isNotNull() & (F.col("value") != F.col("fill")))
         x, y = pixel_x(F.col("col")), pixel_y(F.col("row"))
         grow, gcol = F.floor((F.lit(y0) - y) / F.lit(res)), F.floor((x - F.lit(x0)) / F.lit(res))
-        return valid.select(
-            *bands, "tile_id", "row", "col", "value", x.alias("x"), y.alias("y"), grow.alias("grow"), gcol.alias("gcol")
+        celled = valid.select(
+            *bands, "rank", "row", "col", *_GEOMETRY, "value", x.alias("x"), y.alias("y"), grow.alias("grow"), gcol.alias("gcol")
         )
+        return celled.select(*bands, "grow", "gcol", "value", precedence.alias("precedence"))
+
+    def winners(part: DataFrame) -> DataFrame:
+        return placed(part).groupBy(*bands, "grow", "gcol").agg(F.min_by("value", "precedence").alias("value"))
 
     shared = materialise(_shared_windows(tiles, x0, y0, res, limit))
-    bound = _block_bound(shared)
-    contested = placed(_in_windows(pixels, shared, limit, "left_semi", bound))
-    clear = placed(_in_windows(pixels, shared, limit, "left_anti", bound))
-    dx = F.col("x") - (F.lit(x0) + (F.col("gcol") + 0.5) * F.lit(res))
-    dy = F.col("y") - (F.lit(y0) - (F.col("grow") + 0.5) * F.lit(res))
-    precedence = F.struct((dx * dx + dy * dy).alias("d"), "tile_id", "row", "col")
-    won = contested.groupBy(*bands, "grow", "gcol").agg(F.min_by("value", precedence).alias("value"))
-    return won.unionByName(clear.select(*bands, "grow", "gcol", "value"))
+    block = F.lit(BLOCK_PIXELS)
+    met = shared.agg(
+        F.coalesce(F.sum(F.col("new_height") * F.col("new_width")), F.lit(0)).alias("pixels"),
+        F.coalesce(
+            F.sum((F.ceil(F.col("new_height") / block) + 1) * (F.ceil(F.col("new_width") / block) + 1)), F.lit(0)
+        ).alias("blocks"),
+    ).first()
+    if 2 * met["pixels"] >= known["pixels"]:
+        return winners(pixels)
+    contested = _in_windows(pixels, shared, limit, "left_semi", met["blocks"])
+    clear = placed(_in_windows(pixels, shared, limit, "left_anti", met["blocks"]))
+    return winners(contested).unionByName(clear.select(*bands, "grow", "gcol", "value"))
+
+
+def _ranked(tiles: DataFrame) -> tuple[DataFrame, Column]:
+    """Tiles, and a number that orders them as their ids do: an integer id itself, or a count."""
+    if isinstance(tiles.schema["tile_id"].dataType, IntegralType):
+        return tiles, F.col("tile_id").cast("long")
+    numbered = number_in_order(tiles.withColumn("__all", F.lit(0)), ["__all"], ["tile_id"], "__rank").drop("__all")
+    return materialise(numbered), F.col("__rank")
+
+
+# Bits of a precedence that distances need, so that they are told apart as far as their rounding lets them.
+_DISTANCE_BITS = 40
+
+
+def _precedence(x0: float, y0: float, res: float, ranks: int, finer: float) -> Column:
+    """Distance to the centre of the cell, then tile, row and column, in one number.
+
+    Rows and columns count from the first of the tile that can fall into the cell, so they
+    take few bits; distances have what these leave of 62 bits.  Where that is too
+    little, for pixels very much finer than the lattice, a struct of the four is compared instead.
+    """
+    gcol, grow = F.col("gcol"), F.col("grow")
+    dx = F.col("x") - (F.lit(x0) + (gcol + 0.5) * F.lit(res))
+    dy = F.col("y") - (F.lit(y0) - (grow + 0.5) * F.lit(res))
+    distance = dx * dx + dy * dy
+    place_bits = (math.ceil(finer) + 4).bit_length()
+    rank_bits = int(ranks).bit_length()
+    bits = min(62 - 2 * place_bits - rank_bits, 52)
+    if bits < _DISTANCE_BITS:
+        return F.struct(distance.alias("d"), "rank", "row", "col")
+    # the first row and column whose centres lie in the cell, less one for rounding
+    first_col = F.ceil((F.lit(x0) + gcol * F.lit(res) - F.col("x0")) / F.col("res_x") - 0.5) - 1
+    first_row = F.ceil((F.col("y0") - (F.lit(y0) - grow * F.lit(res))) / F.col("res_y") - 0.5) - 1
+    packed = F.round(distance * F.lit(2.0**bits / res**2)).cast("long")
+    for value, width in ((F.col("rank"), rank_bits), (F.col("row") - first_row, place_bits), (F.col("col") - first_col, place_bits)):
+        packed = F.shiftleft(packed, width) + value.cast("long")
+    return packed
 
 
 def _shared_windows(tiles: DataFrame, x0: float, y0: float, res: float, limit: int) -> DataFrame:

@@ -3,12 +3,13 @@
 Every join in the package has a large side (cells, pixels, series rows, request
 items) and a lookup side (spans, tiles, catalog entries, manifests).  The lookup
 side is broadcast only when a row bound that was worked out beforehand stays
-below a limit.  Beyond it the same join runs as a salted shuffle join, so a
-single hot key is spread over several tasks and the result is the same.
+below a limit.  Beyond it the same join runs as a shuffle join whose hot keys are counted
+and spread over several tasks; the result is the same.
 """
 
 from __future__ import annotations
 
+import math
 import tempfile
 from collections.abc import Sequence
 
@@ -19,9 +20,14 @@ from pyspark.sql import functions as F
 # here are at most some hundred bytes wide, so this stays near 100 MB.
 BROADCAST_ROW_LIMIT = 1_000_000
 
-# Replicas of the lookup side, and slices of each key of the large side, when
-# the lookup side is too large to broadcast.
-SALT_SLICES = 16
+# Without a broadcast, rows of a hot key are dealt to this many slices for every task's fair share of
+# rows that the key holds, and its lookup rows are repeated for each slice.  A key is hot with
+# more than one of HOT_SHARE parts of the rows, so there are fewer than HOT_SHARE hot keys.
+SLICES = 8
+HOT_SHARE = 64
+
+# Counters of the first pass over the keys; the counter of a hot key is hot as well.
+_COUNTERS = 65_536
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -63,13 +69,16 @@ def lookup_join(
     rows: int,
     residual: Column | None = None,
     limit: int = BROADCAST_ROW_LIMIT,
-    slices: int = SALT_SLICES,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Join ``large`` to ``lookup`` on ``keys`` and an optional ``residual``.
 
     ``rows`` is an upper bound for the rows of ``lookup``.  Key columns of the
     lookup side are dropped from the result; all its other columns must have
     names that ``large`` does not use, so that ``residual`` is unambiguous.
+
+    Without a broadcast the hot keys of ``large`` are counted first; only their rows are dealt
+    to slices and only their lookup rows are repeated, as often as their size asks for.
     """
     renamed = lookup.withColumnsRenamed({k: f"__lookup_{k}" for k in keys})
     condition = F.lit(True)
@@ -80,14 +89,44 @@ def lookup_join(
     drop = [f"__lookup_{k}" for k in keys]
     if rows <= limit:
         return large.join(F.broadcast(renamed), condition, how).drop(*drop)
-    salted = large.withColumn("__slice", F.pmod(F.monotonically_increasing_id(), F.lit(slices)))
-    copies = renamed.withColumn(
-        "__lookup_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long")))
-    )
+    parts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = {key: math.ceil(share * parts * slices) for key, share in hot_keys(large, keys).items()}
+    if not many:
+        return large.join(renamed.hint("merge"), condition, how).drop(*drop)
+
+    def slices_of(names: Sequence[str]) -> Column:
+        key = _key_hash(names)
+        return F.coalesce(*[F.when(key == F.lit(k), F.lit(n)) for k, n in many.items()], F.lit(1))
+
+    # a row's place is the same when a task is run again; the partition parts rows that are copies
+    row = [F.col(f"`{f.name}`") for f in large.schema if "map<" not in f.dataType.simpleString()]
+    salted = large.withColumn("__slice", F.pmod(F.xxhash64(F.spark_partition_id(), *row), slices_of(keys)).cast("int"))
+    copies = renamed.withColumn("__lookup_slice", F.explode(F.sequence(F.lit(0), slices_of(drop) - 1)))
     condition = condition & (F.col("__slice") == F.col("__lookup_slice"))
     return salted.join(copies.hint("merge"), condition, how).drop("__slice", "__lookup_slice", *drop)
 
 
+def _key_hash(names: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{n}`") for n in names])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int, float]:
+    """Hashes of the keys that hold more than one of ``HOT_SHARE`` parts of the rows, and their shares.
+
+    The first pass adds up counters, bounded in number; the keys of hot counters alone are
+    counted one by one.
+    """
+    hashed = df.select(_key_hash(keys).alias("key"))
+    counter = F.pmod(F.col("key"), F.lit(_COUNTERS))
+    counts = hashed.groupBy(counter.alias("counter")).agg(F.count("*").alias("n")).collect()
+    least = sum(r["n"] for r in counts) / HOT_SHARE
+    hot = [r["counter"] for r in counts if r["n"] > least]
+    if not hot:
+        return {}
+    exact = hashed.where(counter.isin(hot)).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > least)
+    return {r["key"]: r["n"] / (least * HOT_SHARE) for r in exact.collect()}
+
+
 def number_in_order(
     df: DataFrame, group: Sequence[str], order: Sequence[str], name: str
 ) -> DataFrame:

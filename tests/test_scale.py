@@ -34,6 +34,28 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert sum(sizes) == 100_000 and max(sizes) < 60_000
 
 
+def test_only_hot_keys_are_repeated(spark):
+    # one key holds a third of the rows, all others have one row
+    large = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("i")
+    )
+    hot = scale.hot_keys(large, ["k"])
+    assert len(hot) == 1 and abs(next(iter(hot.values())) - 1 / 3) < 1e-9
+    lookup = spark.range(-1, 60_000).select(F.col("id").alias("k"), F.col("id").alias("w"))
+    joined = scale.lookup_join(large, lookup, ["k"], "inner", 10**9)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(sizes) == 60_000 and max(sizes) <= 1.5 * 60_000 / 8
+    # the same rows go to the same places when the plan is run again
+    assert joined.where("k <> w").count() == 0
+    assert scale.hot_keys(large.where("k >= 0"), ["k"]) == {}
+    assert scale.hot_keys(large.limit(0), ["k"]) == {}
+
+
 def test_numbers_in_order_of_a_hot_group(spark):
     data = spark.range(5000).repartition(8).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
