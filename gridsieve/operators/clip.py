@@ -237,6 +237,7 @@ def _clip_join(
     y: str,
     rows: DataFrame | None,
     limit: int,
+    ranges: tuple[DataFrame, Column] | None = None,
 ) -> DataFrame:
     hx, hy = _sizes(res)
     width = bucket_width(hx)
@@ -257,13 +258,25 @@ def _clip_join(
         spans = merge_spans(spans.distinct(), ["row_y", "bucket"])
     keyed = boxed.select("*", F.col(y).alias("row_y"), F.floor(F.col(x) / F.lit(width)).alias("bucket"))
     inside = (F.col(x) >= F.col("lo")) & (F.col(x) <= F.col("hi") if touches else F.col(x) < F.col("hi"))
+    if ranges is not None:
+        # each area has a time range of its own, which its spans carry
+        bounds, micros = ranges
+        keyed = keyed.withColumn("__micros", micros)
+        spans = lookup_join(spans, bounds, ["area_id"], "inner", extent.areas, limit=limit)
+        inside = inside & within("__micros")
     n_spans = extent.spans
     if n_spans > limit or n_rows > extent.rows(hy):
         # the bound holds for a regular axis, and is loose for many small areas
         spans = materialise(spans)
         n_spans = spans.count()
     joined = lookup_join(keyed, spans, ["row_y", "bucket"], how, n_spans, inside, limit)
-    return joined.drop("row_y", "bucket")
+    return joined.drop("row_y", "bucket", "__micros")
+
+
+def within(micros: str) -> Column:
+    """Whether a time lies in a range ``since`` to ``until`` (microseconds, null for open ends)."""
+    late, early = F.col("since").isNull(), F.col("until").isNull()
+    return (late | (F.col(micros) >= F.col("since"))) & (early | (F.col(micros) <= F.col("until")))
 
 
 def polygon_clip(
@@ -307,9 +320,14 @@ def clip_many(
     y: str = "y",
     rows: DataFrame | None = None,
     limit: int = BROADCAST_ROW_LIMIT,
+    ranges: tuple[DataFrame, Column] | None = None,
 ) -> DataFrame:
-    """All areas in one pass: each cell row once per area it belongs to."""
-    joined = _clip_join(df, edges, res, touches, "inner", x, y, rows, limit)
+    """All areas in one pass: each cell row once per area it belongs to.
+
+    ``ranges`` gives every area a time range: a table ``(area_id, since, until)`` in microseconds,
+    null for open ends, and the time of a row in microseconds.
+    """
+    joined = _clip_join(df, edges, res, touches, "inner", x, y, rows, limit, ranges)
     return joined.select("area_id", *df.columns)
 
 
