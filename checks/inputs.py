@@ -243,6 +243,36 @@ def odd_feature(kind: Column) -> Column:
     )
 
 
+def many_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(request_id, doc)``: one request per customer, with areas, rules, bounds and ids of all kinds."""
+    key = F.col("c_custkey")
+    late = key % 50 == 0
+    start = F.when(late, F.date_add(F.lit("2024-01-01").cast("date"), (key % 20).cast("int"))).otherwise(
+        F.add_months(F.lit("1995-01-01").cast("date"), (key % 72).cast("int"))
+    )
+    end = F.when(key % 97 == 0, "soon").otherwise(F.date_add(start, F.when(late, 3).otherwise(45)).cast("string"))
+    x, y = _corner()
+    area = F.when(key % 41 == 0, "null").otherwise(_feature_text(F.col("c_name"), x, y, 0.5))
+    document = F.concat(
+        F.lit('{"extractor": {"parameters": {"dataset_ids": '),
+        F.when(late, "[1, 2, 99]").otherwise("[1]"),
+        F.lit(', "start_date": "'), start.cast("string"), F.lit('", "end_date": "'), end,
+        F.lit('", "cell_touches": '), F.when(key % 2 == 0, "false").otherwise("true"),
+        F.lit(', "reference_area": '), area, F.lit("}}}"),
+    )
+    return table(spark, sf_dir, "customer").select(key.alias("request_id"), document.alias("doc"))
+
+
+MANY_REQUESTS_SQL = """
+SELECT c_custkey AS request_id, c_custkey % 97 <> 0 AS valid, c_custkey % 50 = 0 AS late, c_custkey % 41 = 0 AS free,
+       c_custkey % 2 = 1 AS touches, 5 + (c_custkey % 40) * 0.25::double AS ax, 47 + (c_nationkey % 12) * 0.25::double AS ay,
+       CASE WHEN c_custkey % 50 = 0 THEN TIMESTAMP '2024-01-01' + to_days(cast(c_custkey % 20 AS int))
+            ELSE TIMESTAMP '1995-01-01' + to_months(cast(c_custkey % 72 AS int)) END AS since,
+       CASE WHEN c_custkey % 50 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 45 DAY END AS length
+FROM customer
+"""
+
+
 CATCHMENTS_SQL = """
 SELECT c_custkey AS catchment, c_name,
        cast(5 + (c_custkey % 40) * 0.25 AS double) AS x, cast(47 + (c_nationkey % 12) * 0.25 AS double) AS y

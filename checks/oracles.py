@@ -5,7 +5,18 @@ from __future__ import annotations
 import math
 
 from checks import inputs as inp
-from checks.queries import GLOBS, TILE_KEY, YEAR_FILES
+
+# Fixed values, as the queries have them.
+GLOBS = (("title", "small*"), ("title", "*ring"), ("variable_name", "LARGE*#1*"), ("title", "*%*"), ("path", "*_*.N*"))
+TILE_KEY = "Copernicus_DSM_10_N%02d_00_E%03d_00"
+YEAR_FILES = (
+    ("Precipitation", "pr", 1, "v5-0"),
+    ("RadiationGlobal", "rsds", 5, "v3-0"),
+    ("Humidity", "hurs", 5, "v5-0"),
+    ("TemperatureMean", "tas", 5, "v5-0"),
+    ("TemperatureMin", "tasmin", 5, "v5-0"),
+    ("TemperatureMax", "tasmax", 5, "v5-0"),
+)
 
 START, END = f"TIMESTAMP '{inp.START}'", f"TIMESTAMP '{inp.END}'"
 # half a cell, grown so that contact at a corner does not depend on rounding
@@ -189,6 +200,16 @@ kept AS (SELECT file_id FROM g GROUP BY file_id HAVING NOT ({START} > max(time)
 SELECT file_id, time, x, y, v FROM g WHERE file_id IN (SELECT file_id FROM kept)
 """
 
+# requests of all kinds against the grid: squares by both rules, no area, time ranges
+EXTRACTED = f"""
+SELECT request_id, x, y, time, v
+FROM ({inp.MANY_REQUESTS_SQL}) r JOIN ({inp.GRID_SQL}) g ON time BETWEEN since AND since + length AND (
+  free OR CASE WHEN touches THEN x + {HALF!r}::double >= ax AND x - {HALF!r}::double <= ax + 0.5
+                             AND y + {HALF!r}::double >= ay AND y - {HALF!r}::double <= ay + 0.5
+               ELSE x >= ax AND x < ax + 0.5 AND y >= ay AND y < ay + 0.5 END)
+WHERE valid
+"""
+
 CLIP_DENSE = f"""
 WITH mask AS (SELECT DISTINCT x, y, true AS kept FROM (
   {mask_sql(inp.edges_sql('A1', 'A4'), f'SELECT DISTINCT x, y FROM ({inp.GRID_SQL})')}) WHERE {TOUCH})
@@ -436,6 +457,36 @@ FROM customer""",
     "bbox_clip": f"SELECT x, y, time, v FROM ({inp.GRID_SQL}) WHERE {_in_box('A1')}",
     "clip_touch": _clip_sql("x, y, time, v", ("A1",), TOUCH),
     "clip_centre": _clip_sql("x, y, time, v", ("A1",), "inside"),
+    "extract_many": f"SELECT request_id, x, y, time, v FROM ({EXTRACTED})",
+    "extract_many_status": f"""
+        WITH grid AS (SELECT request_id, count(*) AS n, min(time) AS t_min, max(time) AS t_max FROM ({EXTRACTED}) GROUP BY 1),
+        sensed AS (
+            SELECT request_id, count(*) AS n, min(ts) AS t_min, max(ts) AS t_max
+            FROM ({inp.MANY_REQUESTS_SQL}) r JOIN events ON ts BETWEEN since AND since + length
+            WHERE valid AND late GROUP BY 1
+        ), asked AS (
+            SELECT request_id, 0 AS position, 1::bigint AS entry_id, 'grid' AS route FROM ({inp.MANY_REQUESTS_SQL}) WHERE valid
+            UNION ALL SELECT request_id, 1, 2, 'sql' FROM ({inp.MANY_REQUESTS_SQL}) WHERE valid AND late
+            UNION ALL SELECT request_id, 2, 99, NULL FROM ({inp.MANY_REQUESTS_SQL}) WHERE valid AND late
+        ), found AS (SELECT 1 AS entry_id, * FROM grid UNION ALL SELECT 2, * FROM sensed)
+        SELECT request_id, position, entry_id, route,
+               CASE WHEN entry_id = 99 THEN 'missing' WHEN n > 0 THEN 'ok' ELSE 'empty' END AS status,
+               CASE WHEN entry_id < 99 THEN coalesce(n, 0) END AS n_rows, t_min, t_max
+        FROM asked LEFT JOIN found USING (request_id, entry_id)
+        UNION ALL SELECT request_id, NULL, NULL, NULL, 'invalid', NULL, NULL, NULL FROM ({inp.MANY_REQUESTS_SQL}) WHERE NOT valid
+    """,
+    "extract_parts": f"""
+        WITH g AS ({inp.GRID_SQL}),
+        kept AS (
+            SELECT file_id, row_number() OVER (ORDER BY file_id) AS part FROM g GROUP BY file_id
+            HAVING NOT ({START} > max(time) OR {END} < min(time))
+        ), cells AS (
+            SELECT * FROM ({_clip_sql('g.*', ('A1',), TOUCH)}) JOIN kept USING (file_id) WHERE time BETWEEN {START} AND {END}
+        )
+        SELECT concat('air_temp_1_part_', part) AS target, 'ok' AS status, (SELECT count(*) FROM cells) AS all_rows,
+               count(*) AS n_rows, min(time) AS t_min, max(time) AS t_max, sum(v) AS sum_v
+        FROM cells GROUP BY part
+    """,
     "clip_parts": f"""
         WITH mask AS ({mask_sql(inp.edges_sql('A1', 'A2', 'A4'), f'SELECT DISTINCT x, y FROM ({inp.GRID_SQL})')}),
         united AS (SELECT x, y, bool_or(inside) AS inside, bool_or(inside OR touched) AS touched FROM mask GROUP BY x, y)

@@ -594,6 +594,49 @@ def request_flags(spark: SparkSession, sf: str) -> DataFrame:
     return gs.parse_requests(documents, "doc").select("request_id", "valid", "cell_touches")
 
 
+def _extracted(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """Status and folder of one run for all requests, on a grid and a table."""
+    folder = scratch_dir(spark)
+    writers.write_parquet(_cells(spark, sf), f"{folder}/daily.nc")
+    inp.table(spark, sf, "events").select("ts", "value", "user_id").createOrReplaceTempView("extracted_events")
+    rows = [
+        (1, "daily", "air temp", "local", f"{folder}/daily.nc", ["v"], None, ["time"], ["x", "y"], 4326, inp.RES, inp.RES, None),
+        (2, "events", "value", "internal", "extracted_events", ["value"], None, ["ts"], ["user_id"], None, None, None, None),
+    ]
+    status = gs.extract_many(spark, inp.many_requests(spark, sf), spark.createDataFrame(rows, gs.CATALOG), f"{folder}/out")
+    return status, f"{folder}/out"
+
+
+def extract_many(spark: SparkSession, sf: str) -> DataFrame:
+    """The cells of all requests, out of one read of the grid."""
+    _, target = _extracted(spark, sf)
+    return gs.read_extract(spark, target, "air_temp_1").select(
+        F.col("request_id").cast("long").alias("request_id"), "x", "y", "time", "v"
+    )
+
+
+def extract_many_status(spark: SparkSession, sf: str) -> DataFrame:
+    status, _ = _extracted(spark, sf)
+    return status.select("request_id", "position", "entry_id", "route", "status", "n_rows", "t_min", "t_max")
+
+
+def extract_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """A grid of one file per year: parts of the files that meet the request, in one write."""
+    folder = scratch_dir(spark)
+    years = inp.grid(spark, sf).select("x", "y", "time", "v", F.concat("file_id", F.lit(".nc")).alias("file"))
+    writers.write_parquet(years, f"{folder}/in", ["file"])
+    row = (1, "daily", "air temp", "local", f"{folder}/in/file=*.nc", ["v"], {"zones": f"{folder}/in.zones"},
+           ["time"], ["x", "y"], 4326, inp.RES, inp.RES, None)
+    document = {"extractor": {"parameters": {
+        "dataset_ids": [1], "reference_area": inp.feature("A1"), "start_date": inp.START, "end_date": inp.END,
+    }}}
+    status = gs.extract(spark, document, spark.createDataFrame([row], gs.CATALOG), f"{folder}/out").first()
+    return spark.read.parquet(status["target"]).groupBy("target").agg(
+        F.lit(status["status"]).alias("status"), F.lit(status["n_rows"]).cast("long").alias("all_rows"),
+        F.count("*").alias("n_rows"), F.min("time").alias("t_min"), F.max("time").alias("t_max"), F.sum("v").alias("sum_v"),
+    )
+
+
 def area_status(spark: SparkSession, sf: str) -> DataFrame:
     texts = inp.table(spark, sf, "customer").select("c_custkey", inp.odd_feature(F.col("c_custkey") % 5).alias("text"))
     return areas.area_status(gs.read_features(texts, "text", "c_custkey"))
@@ -662,6 +705,6 @@ QUERIES: dict[str, Query] = {
         output_name, csv_roundtrip, parquet_roundtrip, grid_write_ignore, metadata_json,
         raw_copy_manifest, area_vertices, run_report, run_report_totals, request_valid, area_status,
         area_parts, request_fanout_ids, catalog_create_records, raster_mosaic_bands, raster_crop_bands,
-        raster_mask_bands, clip_parts, request_flags,
+        raster_mask_bands, clip_parts, request_flags, extract_many, extract_many_status, extract_parts,
     )
 }

@@ -37,7 +37,8 @@ from gridsieve.operators.timeclip import (
     time_clip,
     time_manifest,
 )
-from gridsieve.plans.extract import extract
+from gridsieve.plans.extract import CATALOG, extract
+from gridsieve.plans.many import extract_many, read_extract
 from gridsieve.plans.report import run_report, totals
 from gridsieve.sources.cells import read_cells, read_tiles, unpack
 from gridsieve.sources.csvfiles import scan_csv
