@@ -199,3 +199,56 @@ def test_fields_parted_by_spaces_and_day_first_dates(spark, tmp_path):
     data, files = gs.scan_csv(spark, path, ["date", "q"], "date", {"sep": r"\s+", "dayfirst": "True"})
     assert set(rows(data)) == {(datetime(2000, 1, 2), 2.0), (datetime(2000, 1, 13), 1.5)}
     assert status(files) == {"a.txt": ("read", None)}
+
+
+def test_lines_that_are_too_long_exclude_a_file(spark, tmp_path):
+    path = put(
+        tmp_path / "d",
+        a__csv="t,q\n2000-01-01,1,extra\n",
+        b__csv='t,q\n2000-01-02,"2"\n',
+        c__csv='t,q,r\n2000-01-03,3,\n',
+        d__csv='t,q\n2000-01-04,"4",more\n',
+        e__csv="t,q\n2000-01-05\n",
+    )
+    data, files = gs.scan_csv(spark, path, ["t", "q"], "t")
+    found = status(files)
+    assert {n: s for n, (s, _) in found.items()} == {
+        "a.csv": "failed", "b.csv": "read", "c.csv": "read", "d.csv": "failed", "e.csv": "read",
+    }
+    assert "more fields" in found["a.csv"][1]
+    assert rows(data) == [(datetime(2000, 1, 2), 2), (datetime(2000, 1, 3), 3), (datetime(2000, 1, 5), None)]
+
+
+def test_skipped_lines_and_line_breaks_inside_quotes(spark, tmp_path):
+    text = '"made\nby" someone\nt,name,q\n2000-01-01,"a\nb ""x""",1\n\n2000-01-02,c,\n'
+    path = put(tmp_path / "d", a__csv=text)
+    data, files = gs.scan_csv(spark, path, ["t", "name", "q"], "t", {"skiprows": 2})
+    assert status(files) == {"a.csv": ("read", "read with line breaks inside quotes")}
+    assert rows(data) == [(datetime(2000, 1, 1), 'a\nb "x"', 1), (datetime(2000, 1, 2), "c", None)]
+
+
+def test_a_header_that_comes_again_makes_text(spark, tmp_path):
+    path = put(tmp_path / "d", a__csv="v,w\n1,2\nv,w\n3,4\n")
+    data, _ = gs.scan_csv(spark, path, ["v"])
+    assert dict(data.dtypes) == {"v": "string"} and rows(data) == [("1",), ("3",), ("v",)]
+
+
+def test_plans_do_not_grow_with_headers(spark, tmp_path):
+    def make(folder, n_files, n_headers):
+        folder.mkdir()
+        for i in range(n_files):
+            k = i % n_headers
+            names = [f"x{j}" for j in range(k % 20)] + ["q"] + [f"y{k}"] + ["t"]
+            values = ["0"] * (k % 20) + [str(i)] + ["z"] + ["2000-01-01"]
+            (folder / f"f + {i:04}.csv").write_text(",".join(names) + "\n" + ",".join(values) + "\n")
+        return gs.scan_csv(spark, str(folder), ["t", "q"], "t")
+
+    few, _ = make(tmp_path / "few", 20, 20)
+    many, files = make(tmp_path / "many", 1000, 200)
+    assert files.where("status = 'read'").count() == 1000
+    assert many.agg({"q": "sum"}).first()[0] == 999 * 500
+
+    def operators(frame):
+        return frame._jdf.queryExecution().optimizedPlan().numberedTreeString().count("\n")
+
+    assert operators(many) == operators(few) < 20
