@@ -29,8 +29,9 @@ LABELS = {"system": "System", "user": "User", "assistant": "Assistant", "tool":
 
 _LABEL = "(?:" + "|".join(LABELS.values()) + r"|@[\w.*+%-]*)"
 CONTROL = rf"### {_LABEL}: |</turn>"
-_CONFLICT = rf"(\\*)({CONTROL})"
-_ESCAPED = rf"\\(\\*(?:{CONTROL}))"
+# A run of backslashes is read once, from its first one, however long it is.
+_CONFLICT = rf"(?<!\\)(\\*+)({CONTROL})"
+_ESCAPED = rf"(?<!\\)\\(\\*+(?:{CONTROL}))"
 _TURN = rf"(?s)\G### ({_LABEL}): (.*?)\n</turn>\n"
 
 

@@ -6,14 +6,15 @@ address.  A surrogate is drawn from an HMAC of the entity under a key:
 
 * digits become digits, letters letters of the same case and script, signs stay where they are;
   numbers with a valid check digit get one, octets stay below 256, country codes stay;
-* every word of a name is an entity of its own, so a full name and a surname alone remain one
+* a name has as many words, initials and particles as stand behind the form of address and its titles;
+  every word of a name is an entity of its own, so a full name and a surname alone remain one
   person; first names follow the gender of the form of address, and new names are pronounceable;
 * a word of a name is replaced wherever it stands in the same document with a capital, also without
   a form of address, and is taken as the first name or surname that a full name shows it to be (the
   latest one, where they differ).  Lone initials are replaced after a form of address only.
 
 The same entity has the same surrogate in all documents (coreference).  Two entities must not
-share one (distinctness), and a surrogate must not be an entity that occurs: the entities of all
+share one (distinctness, among first names and surnames too), and a surrogate must not be an entity that occurs: the entities of all
 documents are checked on Spark, and those that collide, except the first, are drawn again until
 none is left.  Later draws are longer, so this ends also where a format holds fewer surrogates than
 there are entities.  Entities drawn again travel by a join with the documents they occur in; if there
@@ -55,9 +56,9 @@ _HEX = re.compile(r"[0-9A-Fa-f]{32,}")
 _ASSIGNED = re.compile(r"[=:]\s{0,4}[\"']?([A-Za-z0-9+/_\-]{12,})")
 _SECRET_NAME = re.compile(r"(?:token|secret|passw(?:or)?d|api[_\- ]?key|credential)s?[\"']?\s{0,4}$", re.I)
 _ADDRESSED = re.compile(
-    r"(?P<title>M(?:rs?|s|iss|me|lle)|Herrn?|Frau|S(?:ra?|eñora?)|D(?:r|oña|on)|Prof|Г-(?:н|жа))\b\.?[ \t]+"
-    r"(?P<name>[^\W\d_]+(?:['’\-][^\W\d_]+)*(?:[ \t]+[^\W\d_]+(?:['’\-][^\W\d_]+)*){0,2})"
+    r"(?P<title>M(?:rs?|s|iss|me|lle)|Herrn?|Frau|S(?:ra?|eñora?)|D(?:r|oña|on)|Prof|Г-(?:н|жа))\b\.?[ \t]+(?=[^\W\d_])"
 )
+_BLANKS = re.compile(r"[ \t]+")
 _NAME_WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 _LETTERS_ONLY = re.compile(r"[^\W\d_]+")
 _POSSESSIVE = re.compile(r"['’][sS]$")
@@ -65,6 +66,14 @@ _POSSESSIVE = re.compile(r"['’][sS]$")
 FEMALE = frozenset(("Mrs", "Ms", "Miss", "Mme", "Mlle", "Frau", "Sra", "Señora", "Doña", "Г-жа"))
 MALE = frozenset(("Mr", "M", "Herr", "Herrn", "Sr", "Señor", "Don", "Г-н"))
 
+# What may stand between a form of address and a name or within a name, and what follows one.
+TITLES = frozenset(("Dr", "Prof", "Dra", "Mag", "Dipl", "Ing", "Rev", "Hon"))
+DEGREES = frozenset("med phil rer nat jur h c iur ing pol oec habil".split())
+PARTICLES = frozenset(
+    "af al av bin bint d da dal de dei del della den der des di dos du e el la las le los op 't ten ter van vom von y zu zum zur".split()
+)
+SUFFIXES = frozenset(("Jr", "Sr", "Jun", "Sen", "II", "III", "IV"))
+
 # Sounds of new names by script: consonants, vowels, endings of female and of other first names.
 SOUNDS = {
     "LATIN": ("b d f g k l m n p r s t v".split(), "a e i o u".split(), "a ia ina".split(), "n r s".split()),
@@ -78,21 +87,46 @@ Entity = tuple[int, int, str, str]
 
 
 def _is_name(word: str) -> bool:
-    return word[0].isupper() or unicodedata.category(word[0]) == "Lo"
-
-
-def _name_parts(m: re.Match) -> Iterator[tuple[int, int, str, str, bool]]:
-    """The words of a name after a form of address, and whether the kind of each is certain."""
-    taken = []
-    for w in _NAME_WORD.finditer(m["name"]):
-        if not _is_name(w[0]):
+    """A word with a capital, behind an elided article too, or of a script without capitals."""
+    first = word[2:3] if word[:2] in ("d'", "d’", "l'", "l’") else word[0]
+    return first.isupper() or unicodedata.category(word[0]) == "Lo"
+
+
+def _name_parts(text: str, m: re.Match) -> Iterator[tuple[int, int, str, str, bool]]:
+    """The words of a name after a form of address, and whether the kind of each is certain.
+
+    Titles, degrees and particles are passed over; a name has as many words and initials as stand
+    there.  Behind a particle all words are surnames, and so is the last one.
+    """
+    taken: list[tuple[int, str, bool]] = []
+    at, behind = m.end(), False
+    while w := _NAME_WORD.match(text, at):
+        word, at = w[0], w.end()
+        dotted = text.startswith(".", at)
+        if not taken and (word in TITLES or (dotted and word in DEGREES)):
+            at += dotted
+        elif dotted and len(word) == 1 and word.isupper():
+            taken.append((w.start(), word, behind))
+            # initials may stand without a blank between them
+            gap = _BLANKS.match(text, at + 1)
+            at = gap.end() if gap else at + 1
+            continue
+        elif taken and word in SUFFIXES:
+            break
+        elif word in PARTICLES:
+            behind = True
+        elif _is_name(word):
+            taken.append((w.start(), word, behind))
+        else:
             break
-        taken.append(w)
+        gap = _BLANKS.match(text, at)
+        if not gap:
+            break
+        at = gap.end()
     gender = "f" if m["title"] in FEMALE else "m" if m["title"] in MALE else "n"
-    for k, w in enumerate(taken):
-        kind = "surname" if k == len(taken) - 1 else f"first_{gender}"
-        word = _POSSESSIVE.sub("", w[0])
-        start = m.start("name") + w.start()
+    for k, (start, word, after_particle) in enumerate(taken):
+        kind = "surname" if after_particle or k == len(taken) - 1 else f"first_{gender}"
+        word = _POSSESSIVE.sub("", word)
         yield start, start + len(word), kind, word.casefold(), len(taken) > 1 and kind != "first_n"
 
 
@@ -101,7 +135,7 @@ def _names(text: str) -> list[Entity]:
     titled = {}
     m = _ADDRESSED.search(text)
     while m:
-        parts = list(_name_parts(m)) if m.start() == 0 or not text[m.start() - 1].isalnum() else []
+        parts = list(_name_parts(text, m)) if m.start() == 0 or not text[m.start() - 1].isalnum() else []
         titled.update((p[0], p) for p in parts)
         m = _ADDRESSED.search(text, parts[-1][1] if parts else m.end("title"))
     if not titled:
@@ -320,16 +354,22 @@ def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
 
 
 def attempts(found: DataFrame, key: bytes = KEY) -> DataFrame:
-    """kind, entity, attempt, surrogate for all entities; no two of a kind share a surrogate."""
+    """kind, entity, attempt, surrogate for all entities; no two share a surrogate.
+
+    Names are one family: a surname, a first name and a name of unknown gender are told apart as well, and
+    no surrogate of one is another name that occurs.
+    """
+    family = F.when(F.col("kind").startswith("first") | (F.col("kind") == "surname"), "name").otherwise(F.col("kind"))
     entities = found.select("kind", "entity").distinct().withColumn("attempt", F.lit(0))
     settled = keep(_drawn(entities, key))
     while True:
-        first = settled.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "entity")).alias("first"))
-        shared = settled.join(first, ["kind", "surrogate"]).where(
-            (F.col("first.entity") != F.col("entity"))
+        told = settled.withColumn("family", family)
+        first = told.groupBy("family", "surrogate").agg(F.min(F.struct("attempt", "entity", "kind")).alias("first"))
+        shared = told.join(first, ["family", "surrogate"]).where(
+            (F.col("first.entity") != F.col("entity")) | (F.col("first.kind") != F.col("kind"))
         ).select("kind", "entity")
-        real = settled.select("kind", F.col("entity").alias("surrogate"))
-        known = settled.join(real, ["kind", "surrogate"], "left_semi").select("kind", "entity")
+        real = told.select("family", F.col("entity").alias("surrogate")).distinct()
+        known = told.join(real, ["family", "surrogate"], "left_semi").select("kind", "entity")
         clash = keep(shared.unionByName(known).distinct())
         if clash.isEmpty():
             return settled

@@ -2,6 +2,7 @@ import collections
 import hashlib
 import itertools
 import json
+import random
 import re
 
 import duckdb
@@ -403,6 +404,53 @@ def test_one_kind_for_a_name_in_a_document(text, kind):
     assert [k for *_, k, e in surrogates.find_entities(text) if e == "anna"] == [kind] * 3
 
 
+@pytest.mark.parametrize("text, hidden", [
+    ("Frau Dr. Schmidt kam", ["Schmidt"]), ("Prof. Dr. Anna Schmidt kam", ["Anna", "Schmidt"]),
+    ("Herr Ludwig van Beethoven kam", ["Ludwig", "Beethoven"]), ("Mr John Paul George Ringo sang", ["John", "Paul", "George", "Ringo"]),
+    ("Mr J. R. Tolkien wrote", ["J", "R", "Tolkien"]), ("Mr J.R.R. Tolkien wrote", ["J", "R", "R", "Tolkien"]),
+    ("Sra María de la Cruz García vino", ["María", "Cruz", "García"]), ("Frau Prof. Dr. med. Eva von der Leyen sprach", ["Eva", "Leyen"]),
+    ("Mr John Smith Jr. The end", ["John", "Smith"]), ("Mme d'Artagnan est là", ["d'Artagnan"]), ("Mr Don Smith left", ["Don", "Smith"]),
+    ("Mr and Mrs Smith came", ["Smith"]), ("Dr. no name", []),
+])
+def test_whole_names_are_found(text, hidden):
+    found = surrogates.find_entities(text)
+    assert [text[a:b] for a, b, *_ in found] == hidden
+    new, _ = surrogates.replace(text, {})
+    assert not {w for w in re.findall(r"\w+", new)} & {h for h in hidden if len(h) > 1}
+    assert surrogates.find_entities(text + " " + " ".join(hidden))[len(found) :] or not hidden
+
+
+def test_names_of_all_kinds_are_distinct(spark):
+    rng = random.Random(11)
+    sounds = ["".join(rng.choice(p) for p in ("bdfgklmnprst", "aeiou", "bdfgklmnprst", "aeiou", "nrst")).capitalize() for _ in range(1500)]
+    rows = [(k, f"{rng.choice(['Mrs', 'Mr', 'Dr'])} {a} {b} came") for k, (a, b) in enumerate(zip(sounds, sounds[::-1]))]
+    done = surrogates.attempts(surrogates.mentions(documents(spark, rows))).toArrow().to_pylist()
+    assert {r["kind"] for r in done} == {"first_f", "first_m", "first_n", "surname"}
+    new = [r["surrogate"] for r in done]
+    assert len(new) > 2500 and len(set(new)) == len(new) and not set(new) & {r["entity"] for r in done}
+
+
+def test_the_table_matches_plain_replacement(spark):
+    """Plain Python: one table of entities, drawn again until no two names, or others of a kind, agree."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows += [(10_000 + k, f"Mrs Ba{v} Smi{v} met Mr Smi{v}") for k, v in enumerate("aeiou")]
+    entities = {(k, e): 0 for _, t in rows for _, _, k, e in surrogates.find_entities(t or "")}
+    family = lambda kind: "name" if kind == "surname" or kind.startswith("first") else kind
+    while True:
+        drawn = {key: surrogates.surrogate(*key, attempt) for key, attempt in entities.items()}
+        owners = collections.defaultdict(list)
+        for (kind, entity), new in drawn.items():
+            owners[family(kind), new].append((entities[kind, entity], entity, kind))
+        real = {(family(kind), entity) for kind, entity in entities}
+        clash = [key for key, new in drawn.items() if (family(key[0]), new) in real or min(owners[family(key[0]), new])[1:] != key[::-1]]
+        if not clash:
+            break
+        for key in clash:
+            entities[key] += 1
+    found = {r["doc_id"]: r["text"] for r in surrogates.anonymise(documents(spark, rows)).collect()}
+    assert found == {i: surrogates.replace(t or "", entities)[0] for i, t in rows}
+
+
 def test_names_of_two_persons_stay_apart():
     found = surrogates.find_entities("Mrs Kim Lee and Mr Kim Park; Kim agreed. Mrs Kim Lee and Dr Kim")
     assert [k for *_, k, e in found if e == "kim"] == ["first_f", "first_m", "first_m", "first_f", "first_f"]
@@ -493,3 +541,11 @@ def test_queries_match_sql(spark):
     said = r"\### Assistant: </turn> ok"
     assert probe["loss_chars"] == len(said) and probe["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
     assert json.loads(json.dumps(probe.asDict()))["n_turns"] == 2
+
+
+def test_long_runs_of_backslashes(spark):
+    signs = "\\" * 1_000_000
+    texts = [signs, signs + "</turn>", "a" + signs + "### User: b"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat.unescape(chat.escape(F.col("t"))).alias("back"))
+    assert frame.where("t <> back").count() == 0
+    assert frame.select(chat.escape(F.col("t")).alias("e")).where("length(e) > 1000000 + 7").count() == 2
