@@ -270,6 +270,43 @@ def best_overlap(item: list[bytes], words: list[bytes], shift: int) -> tuple[int
     return first + best[2], -best[1], best[0]
 
 
+def claims_of(places: DataFrame, regions: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per place (item, shift) of a region, with the words that lie beside the item and no others.
+
+    A region's words are cut once for all its places, so the work grows with the words and places
+    of a document, also where it repeats an item many times.
+    """
+    sized = items.select("item", F.size(F.expr(r"regexp_extract_all(lower(text), '[0-9a-z\\x{80}-\\x{10ffff}]+', 0)")).alias("n"))
+    asked = places.join(sized, "item").groupBy("region").agg(
+        F.collect_list(F.struct("item", F.col("shift").cast("long").alias("shift"), F.col("n").cast("long").alias("n"))).alias("places")
+    )
+    whole = regions.drop("hits").join(asked, "region")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                r = batch.slice(row, 1).to_pylist()[0]
+                words = words_of(r["words"])
+                rows = []
+                for p in r["places"]:
+                    low, high = max(0, p["shift"]), min(len(words), p["shift"] + p["n"])
+                    rows.append((p["item"], p["shift"], b" ".join(words[low:high])))
+                item, shift, beside = (list(c) for c in zip(*rows))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([r["doc_id"]] * len(rows), pa.int64()), pa.array([r["text_sha256"]] * len(rows), pa.string()),
+                        pa.array([r["first_word"]] * len(rows), pa.int64()), pa.array(item, pa.int64()),
+                        pa.array(shift, pa.int64()), pa.array(beside, pa.binary()),
+                    ],
+                    ["doc_id", "text_sha256", "first_word", "item", "shift", "words"],
+                )
+
+    cut = whole.select("doc_id", "text_sha256", "first_word", "words", "places").mapInArrow(
+        run, "doc_id long, text_sha256 string, first_word long, item long, shift long, words binary"
+    )
+    return cut.join(items.withColumnRenamed("text", "item_text"), "item")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document (doc_id, text) and item (item_id, text) that share a verified passage.
 
@@ -295,7 +332,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("region", "item", (F.col("at") - F.col("pos")).alias("shift"))
         .distinct()
     )
-    claims = places.join(regions.drop("hits"), "region").join(items.withColumnRenamed("text", "item_text"), "item")
+    claims = claims_of(places, regions, items)
 
     def verify(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         known: dict[int, list[bytes]] = {}
@@ -304,7 +341,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             item = known.get(r["item"])
             if item is None:
                 item = known[r["item"]] = words_of(_lower(r["item_text"]))
-            found = best_overlap(item, words_of(r["words"]), r["shift"])
+            found = best_overlap(item, words_of(r["words"]), min(r["shift"], 0))
             if found:
                 at, length, equal = found
                 rows.append((r["doc_id"], r["text_sha256"], r["item_id"], r["first_word"] + at + r["shift"], at, length, equal))

@@ -4,6 +4,7 @@ import itertools
 import json
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -549,3 +550,15 @@ def test_long_runs_of_backslashes(spark):
     frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat.unescape(chat.escape(F.col("t"))).alias("back"))
     assert frame.where("t <> back").count() == 0
     assert frame.select(chat.escape(F.col("t")).alias("e")).where("length(e) > 1000000 + 7").count() == 2
+
+
+def test_an_item_repeated_very_often_in_one_document(spark):
+    words = "the quick brown fox jumps over a lazy dog while seven wizards brew soup".split()
+    rows = [(1, " ".join(words * 20_000)), (2, " ".join(["before", *words, "after"])), (3, "clean")]
+    benchmark = spark.createDataFrame([(7, " ".join(words)), (8, "an item that no document holds at all in this small table here")], "item_id long, text string")
+    started = time.monotonic()
+    found = decontam.contaminated(documents(spark, rows), benchmark)
+    assert pairs(found, "doc_id", "item_id", "doc_word", "item_word", "overlap_words", "equal_words", "n_passages") == [
+        (1, 7, 0, 0, 14, 14, 20_000), (2, 7, 1, 0, 14, 14, 1),
+    ]
+    assert time.monotonic() - started < 60
