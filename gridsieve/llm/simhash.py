@@ -7,10 +7,10 @@ and only fingerprints below the same pattern are compared.  A pattern with more
 43, 29, 20 and at last 14 or fewer.  A group is therefore bounded by construction, and no link
 is lost.  Levels are plain joins and counts on Spark.
 
-Lower levels live inside a group: fingerprints sorted by Gray rank, eight to a node; a node
-holds the bits on which all below agree and that its parents do not hold yet.  A search adds up
-differences from the top and leaves a whole node as soon as they pass the limit, or when all
-below already are in the component of the query.
+Lower levels live inside a group, whatever its size: fingerprints sorted by Gray rank, eight to
+a node; a node holds the bits on which all below agree and that its parents do not hold yet.  A
+search adds up differences from the root of its group and leaves a whole node as soon as they
+pass the limit, or when all below already are in the component of the query.
 
 Copies share a fingerprint and enter once.  Every group returns a forest of links (at most one
 per member); components are closed over them on Spark.
@@ -40,8 +40,8 @@ SEED = 42
 MAX_GROUP = 16_384
 LEVELS = 4
 FAN = 8
-LEAF_RUN = 64
-_QUERIES = 256
+# Rows searched at once: at least these, and as many as may meet about _PAIRS leaves.
+_QUERIES, _PAIRS = 256, 1 << 19
 _LINE = 1 << 16
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -139,44 +139,49 @@ def groups(codes: DataFrame, max_bits: int = MAX_BITS, max_group: int = MAX_GROU
 
 
 class GrayIndex:
-    """Codes in Gray order under nodes of shared bit patterns."""
+    """Groups of codes, each in Gray order under a tree of nodes of shared bit patterns.
 
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes
+    ``group`` numbers the groups from 0 in the order of the rows, none for a single one; every group has one root.
+    """
+
+    def __init__(self, codes: np.ndarray, group: np.ndarray | None = None):
+        group = np.zeros(len(codes), np.int64) if group is None else group
+        self.codes, self.group = codes, group
+        heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
         shared_and, shared_or = codes, codes
-        full = np.full(len(codes), 2**64 - 1, np.uint64)
-        self.patterns, self.masks = [codes], [full]
-        while len(shared_and) > FAN:
-            first = np.arange(0, len(shared_and), FAN)
+        self.patterns, self.masks = [codes], [np.full(len(codes), 2**64 - 1, np.uint64)]
+        # First child and number of children of the nodes one level up.
+        self.children: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(shared_and) > len(heads):
+            nodes = -(-np.diff(np.r_[heads, len(shared_and)]) // FAN)
+            above = np.cumsum(nodes) - nodes
+            first = np.repeat(heads - above * FAN, nodes) + np.arange(nodes.sum()) * FAN
+            count = np.diff(np.r_[first, len(shared_and)])
             shared_and = np.bitwise_and.reduceat(shared_and, first)
             shared_or = np.bitwise_or.reduceat(shared_or, first)
             mask = ~(shared_and ^ shared_or)
+            self.children.append((first, count))
             self.patterns.append(shared_and & mask)
             self.masks.append(mask)
+            heads = above
         # What a parent holds is not held again below it.
-        for k in range(len(self.masks) - 1):
-            above = np.repeat(self.masks[k + 1], FAN)[: len(self.masks[k])]
-            self.masks[k] = self.masks[k] & ~above
+        for k, (_, count) in enumerate(self.children):
+            self.masks[k] = self.masks[k] & ~np.repeat(self.masks[k + 1], count)
 
     def search(self, asked: np.ndarray, max_bits: int, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Links (query, member) within ``max_bits`` between different components of ``labels``."""
         low, high = [labels], [labels]
-        for k in range(1, len(self.masks)):
-            first = np.arange(0, len(low[-1]), FAN)
+        for first, _ in self.children:
             low.append(np.minimum.reduceat(low[-1], first))
             high.append(np.maximum.reduceat(high[-1], first))
-        top = len(self.masks) - 1
-        width = len(self.masks[top])
-        query = np.repeat(asked, width)
-        node = np.tile(np.arange(width), len(asked))
-        spent = np.zeros(len(query), np.int64)
-        for k in range(top, -1, -1):
-            if k < top:
-                query = np.repeat(query, FAN)
-                spent = np.repeat(spent, FAN)
-                node = (node[:, None] * FAN + np.arange(FAN)).ravel()
-                real = node < len(self.masks[k])
-                query, spent, node = query[real], spent[real], node[real]
+        query, node, spent = asked, self.group[asked], np.zeros(len(asked), np.int64)
+        for k in range(len(self.masks) - 1, -1, -1):
+            if k < len(self.children):
+                first, count = self.children[k]
+                several = count[node]
+                begin = np.repeat(first[node] - (np.cumsum(several) - several), several)
+                query, spent = np.repeat(query, several), np.repeat(spent, several)
+                node = begin + np.arange(len(query))
             other = ~((low[k][node] == high[k][node]) & (low[k][node] == labels[query]))
             query, spent, node = query[other], spent[other], node[other]
             differ = (self.codes[query] ^ self.patterns[k][node]) & self.masks[k][node]
@@ -199,23 +204,30 @@ def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def link_forest(group: np.ndarray, codes: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
-    """For rows sorted by group and Gray rank: the first row of each row's component in its group."""
-    n = len(codes)
-    labels = np.arange(n)
-    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.zeros(0, np.int64)
-    sizes = np.diff(np.r_[first, n])
-    size_of = np.repeat(sizes, sizes)
-    for gap in range(1, min(LEAF_RUN, int(sizes.max(initial=0)))):
-        a = np.flatnonzero((group[gap:] == group[:-gap]) & (size_of[gap:] <= LEAF_RUN))
-        a = a[np.bitwise_count(codes[a] ^ codes[a + gap]) <= max_bits]
-        labels = _merge(labels, a, a + gap)
-    for start, size in zip(first[sizes > LEAF_RUN].tolist(), sizes[sizes > LEAF_RUN].tolist()):
-        index = GrayIndex(codes[start : start + size])
-        own = np.arange(size)
-        for k in range(0, size, _QUERIES):
-            query, member = index.search(np.arange(k, min(size, k + _QUERIES)), max_bits, own)
+    """For rows sorted by group and Gray rank: the first row of each row's component in its group.
+
+    Every group of two or more is searched through the index; groups of equal depth share one.
+    """
+    labels = np.arange(len(codes))
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(codes) else labels
+    sizes = np.diff(np.r_[first, len(codes)])
+    depth_of = np.zeros(len(sizes), np.int64)
+    wide = sizes
+    while (wide > 1).any():
+        depth_of += wide > 1
+        wide = -(-wide // FAN)
+    by_row = np.repeat(depth_of, sizes)
+    for depth in range(1, int(depth_of.max(initial=0)) + 1):
+        rows = np.flatnonzero(by_row == depth)
+        if not len(rows):
+            continue
+        index = GrayIndex(codes[rows], np.repeat(np.arange((depth_of == depth).sum()), sizes[depth_of == depth]))
+        own = np.arange(len(rows))
+        step = max(_QUERIES, _PAIRS // FAN**depth)
+        for k in range(0, len(rows), step):
+            query, member = index.search(np.arange(k, min(len(rows), k + step)), max_bits, own)
             own = _merge(own, query, member)
-        labels[start : start + size] = own + start
+        labels[rows] = rows[own]
     return labels
 
 

@@ -130,6 +130,39 @@ def test_index_finds_all_links_in_dense_and_sparse_groups():
     assert links == brute
 
 
+def test_every_group_goes_through_the_index(spark, monkeypatch):
+    searched = []
+    plain_search = simhash.GrayIndex.search
+
+    def search(self, asked, *rest):
+        searched.extend(self.group[asked].tolist())
+        return plain_search(self, asked, *rest)
+
+    monkeypatch.setattr(simhash.GrayIndex, "search", search)
+    rng = np.random.default_rng(5)
+    sizes = [1, 2, 8, 9, 1, 64, 65, 3, 700, 2, 1]
+    codes, group, expected = [], [], []
+    for g, size in enumerate(sizes):
+        centre = int(rng.integers(0, 2**63))
+        flips = rng.integers(0, 64, (size, 3)).tolist()
+        own = np.array([centre ^ (1 << a) ^ (1 << b) ^ (1 << c) for a, b, c in flips], np.uint64)
+        expected += [len(codes) + r for r in plain_components(own)]
+        codes += own.tolist()
+        group += [g] * size
+    found = simhash.link_forest(np.array(group), np.array(codes, np.uint64))
+    assert found.tolist() == expected
+    assert len(searched) == sum(s for s in sizes if s > 1)
+    assert simhash.link_forest(np.zeros(0, np.int64), np.zeros(0, np.uint64)).tolist() == []
+    # Groups of the given table: more links than none, all of them out of the index.
+    nodes = simhash.fingerprints(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).select("code").distinct()
+    rows = simhash.groups(nodes.withColumn("node", F.col("code"))).orderBy("mask", "pattern", simhash.gray_rank(F.col("code"))).collect()
+    searched.clear()
+    keys = [(r["mask"], r["pattern"]) for r in rows]
+    numbers = np.cumsum([0] + [a != b for a, b in zip(keys, keys[1:])])
+    simhash.link_forest(numbers, np.array([r["code"] for r in rows], np.int64).view(np.uint64))
+    assert len(searched) == len(rows) > 0
+
+
 def test_components_of_paths_stars_and_nothing(spark):
     path = [(k, k + 1) for k in range(60)]
     star = [(100, 100 + k) for k in range(1, 50)] + [(120, 100), (7, 7), (None, 3)]
