@@ -16,17 +16,23 @@ the source.  Texts for which that differs get one more backslash before each con
 
 Defined results: null text and null role count as empty; turns are ordered by turn, role, text,
 nulls first; repeated rows are turns of their own; a null conv_id is one conversation; an empty
-table gives no conversations.  One conversation becomes one row, so it has to fit into memory.
+table gives no conversations.  One conversation becomes one row, so it has to fit into
+memory; the work on it grows with its length and, by sums of short parts, with its turns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Roles with a header of their own.
 LABELS = {"system": "System", "user": "User", "assistant": "Assistant", "tool": "Tool"}
 
+# Elements to a part of a running sum, and code points to a page of a text that is read by spans.
+PART, PAGE = 256, 1024
+_END = "\n</turn>\n"
 _LABEL = "(?:" + "|".join(LABELS.values()) + r"|@[\w.*+%-]*)"
 CONTROL = rf"### {_LABEL}: |</turn>"
 # A run of backslashes is read once, from its first one, however long it is.
@@ -121,32 +127,77 @@ def _recovers() -> Column:
     return (back == F.col("source")) & clean
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once a row, however often inner functions read it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _parts(count: Column) -> Column:
+    """The numbers, from 0, of the parts that hold ``count`` elements, PART to each; none of nothing."""
+    last = F.floor((count - 1) / PART).cast("int")
+    return F.when(count > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+
+
+def _starts(lengths: Column, first: Column) -> Column:
+    """``first`` and the running sums of ``lengths`` behind it: as many as there are lengths, and the end."""
+    return F.aggregate(lengths, F.array(first), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)))
+
+
+def running_starts(lengths: Column) -> Column:
+    """Sum of all lengths before each one, in two levels: appending to one long array is quadratic."""
+
+    def inside(held: Column) -> Column:
+        parts = F.transform(_parts(F.size(held)), lambda k: F.slice(held, k * PART + 1, PART))
+        return _let(parts, lambda cut: _let(
+            _starts(F.transform(cut, lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda t, n: t + n)), F.lit(0).cast("long")),
+            lambda begins: F.flatten(
+                F.transform(cut, lambda part, k: F.slice(_starts(part, begins[k]), F.lit(1), F.size(part)))
+            ),
+        ))
+
+    return _let(lengths, inside)
+
+
 def loss_mask(cut: Column) -> Column:
     """Spans of assistant bodies in the formatted text, in code points."""
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-
-    def step(state: Column, turn: Column) -> Column:
-        start = state["at"] + F.char_length(header(turn["role"]))
-        length = F.char_length(turn["body"]).cast("long")
-        span = F.array(F.struct(start.alias("start"), length.alias("length")))
-        return F.struct(
-            (start + length + F.lit(len("\n</turn>\n"))).alias("at"),
-            F.when(turn["role"] == "assistant", F.concat(state["spans"], span))
-            .otherwise(state["spans"])
-            .alias("spans"),
+    sized = F.transform(
+        cut,
+        lambda t: F.struct(
+            (t["role"] == "assistant").alias("learned"),
+            F.char_length(header(t["role"])).cast("long").alias("header"),
+            F.char_length(t["body"]).cast("long").alias("length"),
+        ),
+    )
+
+    def spans(turns: Column) -> Column:
+        lengths = F.transform(turns, lambda t: t["header"] + t["length"] + F.lit(len(_END)))
+        placed = F.transform(
+            F.arrays_zip(turns.alias("turn"), running_starts(lengths).alias("at")),
+            lambda t: F.struct(
+                t["turn"]["learned"].alias("learned"),
+                (t["at"] + t["turn"]["header"]).alias("start"),
+                t["turn"]["length"].alias("length"),
+            ),
+        )
+        return F.transform(
+            F.filter(placed, lambda t: t["learned"]),
+            lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")),
         )
 
-    return F.aggregate(cut, zero, step, lambda state: state["spans"])
+    return _let(sized, spans)
 
 
 def masked_text(formatted: Column, mask: Column) -> Column:
-    """All text under the loss mask, unescaped, one piece after the other."""
-    return F.array_join(
-        F.transform(
-            mask,
-            lambda s: unescape(
-                F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))
-            ),
-        ),
-        "",
-    )
+    """All text under the loss mask, unescaped, one piece after the other.
+
+    The text is cut once into pages of ``PAGE`` code points, and a span reads only the pages it lies on.
+    """
+    pages = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+
+    def span(cut: Column, s: Column) -> Column:
+        first = F.floor(s["start"] / PAGE).cast("int")
+        last = F.floor((s["start"] + s["length"]) / PAGE).cast("int")
+        near = F.array_join(F.slice(cut, first + 1, last - first + 1), "")
+        return F.substring(near, (s["start"] - first * PAGE + 1).cast("int"), s["length"].cast("int"))
+
+    return _let(pages, lambda cut: F.array_join(F.transform(mask, lambda s: unescape(span(cut, s))), ""))
