@@ -3,7 +3,8 @@
 A text is lower-cased (A-Z) and cut into words.  One Aho-Corasick automaton over the words, one
 space between them, finds every phrase whose words stand consecutively, overlapping ones too.
 Where it finds an identifier tag, the rest of that line, up to a next tag, is read as a licence expression: ``and``,
-``or``, ``with``, parentheses and identifiers, ``with`` binding strongest, then ``and``.
+``or``, ``with``, parentheses and identifiers, ``with`` binding strongest, then ``and``.  Identifiers are
+whole names, or a family with its version (``GPL-3.0-or-later``); the expression ends where the grammar does.
 
 Freedom of a licence is a number from 0 (all rights reserved) to 1 (permissive).  In an
 expression ``or`` takes the larger, ``and`` the smaller, and ``with`` an exception frees a copyleft
@@ -13,8 +14,8 @@ that states nothing scores ``UNSTATED``.  Phrases that stand inside a longer phr
 score.
 
 Defined results: null text counts as empty; a text without words has zero places and null first
-and last words; an expression that cannot be parsed, or names an unknown identifier, keeps its
-known identifiers, joined as by ``and``; repeated rows are scanned each; extra columns are ignored;
+and last words; an expression that cannot be parsed, or names an unknown identifier, keeps the
+known identifiers read up to its end, joined as by ``and``; repeated rows are scanned each; extra columns are ignored;
 an empty table gives an empty result.
 """
 
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,12 +67,15 @@ NOTICE_PHRASES = {
 BASE_FREEDOM = {"cc-by": 0.8, "gpl": 0.3, "reserved": 0.0}
 TAG_PHRASES = ("spdx license identifier", "license expression", "licence expression")
 
-# Freedom of expression identifiers by their first letters, longest match first.
-IDENTIFIERS = {
-    "0bsd": 1.0, "agpl-": 0.2, "apache-": 1.0, "artistic-": 0.7, "bsd-": 1.0, "bsl-1": 1.0, "cc-by-": 0.8,
-    "cc-by-nc": 0.2, "cc-by-nd": 0.2, "cc-by-sa": 0.5, "cc0-": 1.0, "cddl-": 0.6, "epl-": 0.6, "eupl-": 0.4,
-    "gfdl-": 0.4, "gpl-": 0.3, "isc": 1.0, "lgpl-": 0.5, "mit": 1.0, "mpl-": 0.6, "proprietary": 0.0,
-    "unlicense": 1.0, "wtfpl": 1.0, "zlib": 1.0,
+# Freedom of expression identifiers: whole names, and families that a version follows.
+WHOLE_NAMES = {
+    "0bsd": 1.0, "cc0": 1.0, "isc": 1.0, "mit": 1.0, "mit-0": 1.0, "proprietary": 0.0, "unlicense": 1.0, "wtfpl": 1.0,
+    "x11": 1.0, "zlib": 1.0,
+}
+FAMILIES = {
+    "agpl": 0.2, "apache": 1.0, "artistic": 0.7, "bsl": 1.0, "cc-by": 0.8, "cc-by-nc": 0.2, "cc-by-nc-nd": 0.1,
+    "cc-by-nc-sa": 0.2, "cc-by-nd": 0.2, "cc-by-sa": 0.5, "cc0": 1.0, "cddl": 0.6, "epl": 0.6, "eupl": 0.4, "gfdl": 0.4,
+    "gpl": 0.3, "lgpl": 0.5, "mpl": 0.6,
 }
 UNSTATED = 0.5
 
@@ -80,7 +85,10 @@ _WORDS = bytes(
 )
 _WORD = re.compile(rb"[^ ]+")
 _REST = re.compile(rb"[ \t]*[:=]?[ \t]*([^\n\r]*)")
-_LEXEME = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+\-]*")
+# White space and quotes may stand between the parts of an expression; any other sign ends it.
+_LEXEME = re.compile(r"[\s\"'`]*([()]|[A-Za-z0-9](?:[A-Za-z0-9.+\-]*[A-Za-z0-9+])?)")
+_VERSIONED = re.compile(r"([a-z0-9\-]*?[a-z0-9])-[0-9]+(?:\.[0-9]+)*(?:-only|-or-later|\+)?")
+_CLAUSES = re.compile(r"bsd-[0-9]-clause(?:-[a-z]+)*")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -91,16 +99,25 @@ class Found:
 
 
 def freedom_of(name: str) -> float | None:
-    known = [k for k in IDENTIFIERS if name == k or name.startswith(k)]
-    return IDENTIFIERS[max(known, key=len)] if known else None
+    """Freedom of a whole identifier in lower case; None if it is not known."""
+    if name in WHOLE_NAMES:
+        return WHOLE_NAMES[name]
+    if _CLAUSES.fullmatch(name):
+        return 1.0
+    versioned = _VERSIONED.fullmatch(name)
+    return FAMILIES.get(versioned[1]) if versioned else None
 
 
 def evaluate(expression: str) -> Found:
-    """Freedom of an expression, by the shunting-yard method, and the identifiers it names."""
-    lexemes = [x.lower() for x in _LEXEME.findall(expression)]
-    names = tuple(dict.fromkeys(x for x in lexemes if x not in _BINDS and x not in "()" and freedom_of(x) is not None))
+    """Freedom of the expression a string starts with, by the shunting-yard method.
+
+    Its names are the known identifiers the parser has read as licences: neither what follows the
+    end of the expression nor an exception behind ``with`` gives a name.
+    """
+    names: dict[str, float] = {}
     values: list[float | None] = []
     waiting: list[str] = []
+    end = 0
 
     def apply() -> None:
         sign = waiting.pop()
@@ -114,7 +131,8 @@ def evaluate(expression: str) -> Found:
 
     try:
         operand = True
-        for k, x in enumerate(lexemes):
+        while lexeme := _LEXEME.match(expression, end):
+            x = lexeme[1].lower()
             if x == "(":
                 if not operand:
                     break
@@ -132,20 +150,26 @@ def evaluate(expression: str) -> Found:
                     apply()
                 waiting.append(x)
                 operand = True
+            elif not operand:
+                break  # the expression has ended, prose follows
             else:
-                if not operand:
-                    break  # the expression has ended, prose follows
-                values.append(freedom_of(x))
+                exception = bool(waiting) and waiting[-1] == "with"
+                free = None if exception else freedom_of(x)
+                if free is not None:
+                    names[x] = free
+                values.append(free)
                 operand = False
+            end = lexeme.end()
         if "(" in waiting:
             raise ValueError("open parenthesis")
         while waiting:
             apply()
         if len(values) != 1 or values[0] is None:
             raise ValueError("no value")
-        return Found(values[0], names)
+        freedom = values[0]
     except (ValueError, IndexError):
-        return Found(min((freedom_of(n) for n in names), default=None), names)
+        freedom = min(names.values(), default=None)
+    return Found(freedom, tuple(names))
 
 
 @lru_cache(maxsize=1)
@@ -170,16 +194,19 @@ def scan_text(text: str) -> dict:
     base, labels = set(), set()
     tags: list[tuple[int, int]] = []
     spans: list[tuple[int, int, float]] = []
+    spaces: np.ndarray | None = None
     for end, (phrase, label, free, is_base) in automaton().iter(line):
         start = end - len(phrase) - 1
+        if is_base or free is None:
+            if spaces is None:
+                spaces = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), np.uint32) == 0x20)
+            place = int(np.searchsorted(spaces, start))
         if is_base:
-            place = line.count(" ", 0, start + 1) - 1
             n_base += 1
             first = place if first is None else min(first, place)
             last = place if last is None else max(last, place)
             base.add(label)
         if free is None:
-            place = line.count(" ", 0, start + 1) - 1
             tags.append((place, place + phrase.count(" ")))
         else:
             labels.add(label)

@@ -64,6 +64,16 @@ def test_licence_places_match_plain_search(spark):
         ("((MIT)", 1.0, ("mit",)),
         ("Nonsense OR", None, ()),
         ("MIT and more words", 1.0, ("mit",)),
+        ("MIT.", 1.0, ("mit",)),
+        ("MIT - this text mitigates nothing; not GPL-3.0 and not proprietary", 1.0, ("mit",)),
+        ("mitigated risks", None, ()),
+        ("iscsi driver", None, ()),
+        ("GPL-2.0-or-later WITH mitten", 0.65, ("gpl-2.0-or-later",)),
+        ("MIT WITH GPL-3.0", 1.0, ("mit",)),
+        ("'Apache-2.0' or \"GPL-2.0+\", proprietary", 1.0, ("apache-2.0", "gpl-2.0+")),
+        ("BSD-3-Clause AND CC-BY-NC-SA-4.0.", 0.2, ("bsd-3-clause", "cc-by-nc-sa-4.0")),
+        ("GPL-next OR gpl", None, ()),
+        ("Unknown-1.0 AND MIT; GPL-2.0", 1.0, ("mit",)),
         ("", None, ()),
     ],
 )
@@ -93,6 +103,13 @@ def test_licence_tags_in_all_spellings(text, labels, expressions):
     assert (found["labels"], found["expressions"]) == (labels, expressions)
 
 
+def test_licence_scan_of_very_many_places_is_linear():
+    started = time.monotonic()
+    found = licenses.scan_text("é SPDX-License-Identifier: MIT cc by\n" * 40_000)
+    assert (found["n_base"], found["first_word"], found["last_word"], found["labels"]) == (40_000, 5, 7 * 40_000 - 2, "cc-by,mit")
+    assert time.monotonic() - started < 20
+
+
 # Decontamination -----------------------------------------------------------------------------
 
 
@@ -530,7 +547,7 @@ def test_chat_round_trip_of_hostile_turns(spark):
 
 def test_queries_match_sql(spark):
     con = duckdb.connect()
-    for name in ("documents", "conversations"):
+    for name in ("documents", "conversations", "pages"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     for name, sql in queries.ORACLES.items():
         frame = queries.QUERIES[name](spark, SF)
@@ -562,3 +579,33 @@ def test_an_item_repeated_very_often_in_one_document(spark):
         (1, 7, 0, 0, 14, 14, 20_000), (2, 7, 1, 0, 14, 14, 1),
     ]
     assert time.monotonic() - started < 60
+
+
+def test_running_starts_around_the_parts(spark):
+    sizes = [0, 1, 2, chat.PART - 1, chat.PART, chat.PART + 1, 3 * chat.PART + 5]
+    rows = [(n, [(7 * k) % 11 for k in range(n)]) for n in sizes]
+    frame = spark.createDataFrame(rows, "n int, lengths array<bigint>").select("n", chat.running_starts(F.col("lengths")).alias("at"))
+    found = {r["n"]: r["at"] for r in frame.collect()}
+    assert found == {n: [sum(lengths[:k]) for k in range(n)] for n, lengths in rows}
+
+
+def test_masks_around_the_pages(spark):
+    rows = [(k, 0, "assistant", "é😀</turn>"[: k % 10] * (k // 3)) for k in range(0, 900, 7)]
+    rows += [(5000, 0, "user", "z" * 3 * chat.PAGE), (5000, 1, "assistant", ""), (5000, 2, "assistant", "y" * 2 * chat.PAGE), (5000, 3, "user", "")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    done = chat.format_conversations(turns)
+    found = {r["conv_id"]: r for r in done.withColumn("loss", chat.masked_text(F.col("formatted"), F.col("loss_mask"))).collect()}
+    for conv in {r[0] for r in rows}:
+        assert found[conv]["identical"]
+        assert found[conv]["loss"] == "".join(t for c, _, role, t in rows if c == conv and role == "assistant")
+
+
+def test_a_conversation_of_very_many_turns(spark):
+    n = 20_000
+    role = F.when(F.col("id") % 2 == 0, "user").otherwise("assistant")
+    turns = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.concat(F.lit("é </turn> "), F.col("id").cast("string")).alias("text"))
+    started = time.monotonic()
+    row = chat.format_conversations(turns).withColumn("loss", chat.masked_text(F.col("formatted"), F.col("loss_mask"))).collect()[0]
+    assert time.monotonic() - started < 60
+    assert row["identical"] and len(row["parsed"]) == n
+    assert row["loss"] == "".join(f"é </turn> {k}" for k in range(1, n, 2))
