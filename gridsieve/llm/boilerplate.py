@@ -1,11 +1,14 @@
 """Main text of web pages: flat blocks, features of neighbours, a small decision tree.
 
 A page is read once, from left to right, into flat text blocks: runs of text between block-level
-tags.  Each block has its word count, its link density (share of words inside links), the same of
-the block before and after it, and marks of the elements it lies in: an article or main element,
-and elements that by tag, or by the leading word of a class, id or role, are menus, headers, footers,
-sidebars, notices, adverts, forms, comments and the like; an article or main element in them begins anew.  A decision tree over these numbers, trained here on the labelled pages
-below, tells main text from the rest.  The parser forgives open tags and cut-off pages.
+tags.  Each block has its word count (in scripts without spaces two signs are a word), its link density
+(share of words inside links), the same of the block before and after it, and marks of the elements it
+lies in: an article or main element, and elements that by tag, or by a name in class, id or role, are
+menus, headers, footers, sidebars, notices, adverts, forms, comments and the like.  The leading word of a
+name counts, and the last one of compounds.  An article or main element in them begins anew, but not in
+comments of readers, menus, sidebars and footers.  Buttons, labels, drawings, templates and hidden elements give no text.  A decision
+tree over these numbers, trained here on the labelled pages below, tells main text from the rest.
+The parser forgives open tags and cut-off pages, and its work is linear in the page.
 
 Defined results: null or empty html gives an empty text; a page without main text too; scripts,
 styles, comments in the markup and the head never give text; a tag cut off by the end of the page is
@@ -34,8 +37,10 @@ BLOCK_TAGS = frozenset(
     "option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style textarea title noframes iframe template svg math object".split())
-BOILER_TAGS = frozenset("aside button dialog fieldset footer form header menu nav noscript option select".split())
+RAW_TAGS = frozenset("script style textarea title noframes iframe".split())
+SKIPPED_TAGS = frozenset("annotation annotation-xml button label svg template".split())
+BOILER_TAGS = frozenset("fieldset form header menu noscript option select".split())
+LASTING_TAGS = frozenset("aside dialog footer nav".split())
 MAIN_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CLOSED_BY_SAME = frozenset("dd dt li option p td th tr".split())
@@ -47,6 +52,27 @@ BOILER_NAMES = frozenset(
     "sponsor sponsored subscribe taboola tags teaser toolbar tooltip warning widget".split()
 )
 
+# Last words of compound names (post-share, mainMenu), first words that make them speak of something else
+# (has-sidebar, category-legal), and first words that make a header one of the whole site.
+TAIL_NAMES = frozenset(
+    "ad ads advert breadcrumb breadcrumbs cookie cookies footer menu nav navbar navigation newsletter pagination popup "
+    "promo related share sharing sidebar sponsor sponsored subscribe toolbar".split()
+)
+MODIFIERS = frozenset("category format has hide is no not show status tag type with without".split())
+SITE_WORDS = frozenset("app blog global main page site top web".split())
+JOINED_NAMES = frozenset("mainmenu mainnav pagefooter pageheader sitefooter siteheader topnav".split())
+REPLY_NAMES = frozenset("disqus replies reply respond".split())
+STATES = frozenset("allowed closed disabled enabled off on open".split())
+_COMMENTS = re.compile(r"(?:post|reader|user)?comments?(?:area|body|box|container|form|item|list|section|thread|wrap|wrapper)?")
+_COMMENT_ARTICLE = re.compile(r"(?:(?:reader|user)[-_]*)?(?:comment|reply)(?:[-_]*(?:body|entry|item|text|[0-9]+))?")
+_INVISIBLE = re.compile(r"(?:^|[\s;\"'])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_LINK = re.compile(r"<(/?)a(?=[\s/>])", re.I)
+_HREF = re.compile(r"(?:^|[\s\"'/])href\s*=", re.I)
+
+# Scripts that are written without spaces: Thai and Lao, Burmese, Khmer, kana, ideographs.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
 # Quotes hold a value only right after an equals sign, as browsers have it; elsewhere they are signs like others.
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|(?=>))|[^>=])*+)>")
 _OPEN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
@@ -68,31 +94,127 @@ class Block:
         return self.linked / self.words
 
 
-def _is_boiler(tag: str, attributes: str) -> bool:
-    if tag in BOILER_TAGS:
-        return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    for name, value in _ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id", "role"):
-            for token in value.lower().split():
-                leading = _NAME.search(token)
-                if leading and leading[0] in BOILER_NAMES:
-                    return True
-    return False
+def word_count(text: str) -> int:
+    """Words between spaces, and one more for every two signs of a script without spaces."""
+    spaced = len(text.split())
+    return spaced if text.isascii() else spaced + len(_UNSPACED.findall(text)) // 2
+
+
+def _name_level(token: str, tag: str, inside: bool) -> int:
+    """What one word of a class, id or role says: 0 nothing, 1 boilerplate, 2 comments of readers."""
+    if tag in MAIN_TAGS:
+        return 2 if _COMMENT_ARTICLE.fullmatch(token.lower()) else 0
+    words = _NAME.findall(_HUMP.sub("-", token).lower())
+    letters = [w for w in words if w.isalpha()]
+    if not words or not letters or words[0] in MODIFIERS:
+        return 0
+    first, last = words[0], letters[-1]
+    if (_COMMENTS.fullmatch(first) or first in REPLY_NAMES) and last in STATES:
+        return 0
+    if _COMMENTS.fullmatch(first) or _COMMENTS.fullmatch(last) or first in REPLY_NAMES:
+        return 2
+    if first in BOILER_NAMES or "".join(words) in JOINED_NAMES:
+        return 1
+    if last == "header":
+        return int(first in SITE_WORDS)
+    # A layout may be named after the sidebar beside the text, so that counts inside an article only.
+    return int(last in TAIL_NAMES and (inside or last != "sidebar"))
+
+
+def _marks(tag: str, attributes: str, inside: bool) -> tuple[int, bool]:
+    """Level of an element (0 none, 1 an article in it begins anew, 2 for all in it), and whether it is hidden."""
+    level = 2 if tag in LASTING_TAGS else int(tag in BOILER_TAGS)
+    hidden = False
+    if attributes:
+        for name, value in _ATTRIBUTE.findall(attributes):
+            name, value = name.lower(), value.strip("\"'")
+            if name == "hidden":
+                hidden = True
+            elif name == "aria-hidden":
+                hidden = hidden or value.strip().lower() == "true"
+            elif name == "style":
+                hidden = hidden or bool(_INVISIBLE.search(value))
+            elif name in ("class", "id", "role") and tag not in ("html", "body"):
+                level = max([level, *[_name_level(token, tag, inside) for token in value.split()]])
+    return level, hidden
+
+
+def _closings(page: str, tag: str) -> dict[int, int]:
+    """Where each element of a tag that is closed begins, and the place behind its end."""
+    ends: dict[int, int] = {}
+    waiting: list[int] = []
+    for hit in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])[^<>]*+>", page, re.I):
+        if not hit[1]:
+            if not hit[0].endswith("/>"):
+                waiting.append(hit.start())
+        elif waiting:
+            ends[waiting.pop()] = hit.end()
+    return ends
+
+
+def _closed_links(page: str) -> set[int]:
+    """Where links begin whose end comes before the next link."""
+    hits = [(hit.start(), bool(hit[1])) for hit in _LINK.finditer(page)]
+    return {at for (at, ending), (_, next_ends) in zip(hits, hits[1:]) if not ending and next_ends}
+
+
+_WALLS = BLOCK_TAGS - CLOSED_BY_SAME
+
+
+@dataclass
+class Element:
+    tag: str
+    boiler: int = 0
+    main: bool = False
+    heading: bool = False
+    hidden: bool = False
+
+
+class Elements:
+    """Open elements, and where those of each tag, all blocks and all walls stand among them."""
+
+    def __init__(self) -> None:
+        self.open = [Element("")]
+        self.of_tag: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.walls: list[int] = []
+
+    def _lists(self, tag: str) -> list[list[int]]:
+        lists = [self.of_tag.setdefault(tag, [])]
+        if tag in BLOCK_TAGS:
+            lists.append(self.blocks)
+        if tag in _WALLS:
+            lists.append(self.walls)
+        return lists
+
+    def push(self, element: Element) -> None:
+        for places in self._lists(element.tag):
+            places.append(len(self.open))
+        self.open.append(element)
+
+    def close(self, tag: str, stops: list[int]) -> None:
+        """End the last element of a tag and all in it, unless one of ``stops`` stands in between."""
+        places = self.of_tag.get(tag)
+        if not places or (stops and stops[-1] > places[-1]):
+            return
+        at = places[-1]
+        while len(self.open) > at:
+            for others in self._lists(self.open.pop().tag):
+                others.pop()
 
 
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page in order."""
     blocks: list[Block] = []
-    # Open elements: tag, in boilerplate, in main text, in heading; the last three with all around.
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    elements = Elements()
     parts: list[str] = []
     linked: list[str] = []
-    in_link = False
+    in_link = lasting = False
+    closed_links: set[int] | None = None
+    closed: dict[str, dict[int, int]] = {}
 
     def text(piece: str) -> None:
-        if piece:
+        if piece and not elements.open[-1].hidden:
             piece = entities.unescape(piece)
             parts.append(piece)
             if in_link:
@@ -101,25 +223,17 @@ def blocks_of(page: str) -> list[Block]:
 
     def close() -> None:
         nonlocal in_link
-        in_link = False
+        in_link = in_link and lasting
         if parts:
-            words = "".join(parts).split()
-            if words:
-                _, boiler, main, heading = stack[-1]
-                count = min(len(words), len("".join(linked).split()))
-                blocks.append(Block(" ".join(words), len(words), count, boiler, main, heading))
+            whole = " ".join("".join(parts).split())
+            if whole:
+                around = elements.open[-1]
+                words = word_count(whole)
+                count = min(words, word_count("".join(linked)))
+                blocks.append(Block(whole, words, count, around.boiler > 0, around.main, around.heading))
             parts.clear()
             linked.clear()
 
-    def pop_to(tag: str, stop: frozenset[str]) -> bool:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == tag:
-                del stack[k:]
-                return True
-            if stack[k][0] in stop:
-                return False
-        return False
-
     at = 0
     while True:
         opening = page.find("<", at)
@@ -152,6 +266,13 @@ def blocks_of(page: str) -> list[Block]:
                 at = shut.end()
             parts.append(" ")
             continue
+        if tag in SKIPPED_TAGS:
+            # One that is never closed hides nothing.
+            if tag not in closed:
+                closed[tag] = _closings(page, tag)
+            at = max(at, closed[tag].get(opening, at))
+            parts.append(" ")
+            continue
         if tag == "br":
             parts.append(" ")
             continue
@@ -159,20 +280,28 @@ def blocks_of(page: str) -> list[Block]:
             close()
         elif tag == "a":
             in_link = not ending
+            if in_link:
+                if closed_links is None:
+                    closed_links = _closed_links(page)
+                lasting = opening in closed_links and bool(_HREF.search(attributes))
             continue
         if tag in VOID_TAGS:
             continue
         if ending:
-            pop_to(tag, frozenset() if tag in BLOCK_TAGS else BLOCK_TAGS)
+            elements.close(tag, [] if tag in BLOCK_TAGS else elements.blocks)
             continue
         if tag in CLOSED_BY_SAME:
-            pop_to(tag, (BLOCK_TAGS - CLOSED_BY_SAME))
+            elements.close(tag, elements.walls)
         elif tag in BLOCK_TAGS:
-            pop_to("p", (BLOCK_TAGS - CLOSED_BY_SAME))
+            elements.close("p", elements.walls)
         if not attributes.endswith("/") or tag in BLOCK_TAGS:
-            _, boiler, main, heading = stack[-1]
-            boiler = _is_boiler(tag, attributes) or boiler and tag not in MAIN_TAGS
-            stack.append((tag, boiler, main or tag in MAIN_TAGS, heading or tag in HEADINGS))
+            around = elements.open[-1]
+            level, hidden = _marks(tag, attributes, around.main)
+            inherited = 0 if tag in MAIN_TAGS and around.boiler < 2 else around.boiler
+            elements.push(Element(
+                tag, max(level, inherited), around.main or tag in MAIN_TAGS, around.heading or tag in HEADINGS,
+                around.hidden or hidden,
+            ))
     close()
     return blocks
 

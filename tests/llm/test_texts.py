@@ -363,6 +363,55 @@ def test_boilerplate_names_still_mark(attributes):
     assert boilerplate.main_text(page) == " ".join(["word"] * 40)
 
 
+CHINESE = "这是一篇没有空格的文章正文它有很多字也有逗号，句号。" * 20
+ARTICLE = "<article><h1>Title of it</h1><p>" + "word " * 40 + "</p>{}<p>" + "last " * 30 + "</p></article>"
+
+
+@pytest.mark.parametrize("page, expected", [
+    # scripts without spaces
+    (f"<div><a href=/>首页</a></div><div><a href=/x>关于</a></div><p>{CHINESE}</p><p>{CHINESE}</p><p>{CHINESE}</p><footer>版权所有</footer>", "\n".join([CHINESE] * 3)),
+    # a page as it was, with nothing more in it
+    (ARTICLE.format(""), None),
+    # drawings and templates that are never closed, formulas
+    (ARTICLE.format("<svg>"), None), (ARTICLE.format("<template>"), None), (ARTICLE.format("<object>"), None), (ARTICLE.format("<math>"), None),
+    (ARTICLE.format("<svg><title>icon</title><svg><text>x</text></svg> y</svg><template><p>unused</p></template>"), None),
+    (ARTICLE.format("<p>where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds"), "where x=1 holds"),
+    # comments of readers as articles
+    (ARTICLE.format("") + "<section class=comments><article class=comment><p>" + "mine " * 50 + "</p></article></section>", None),
+    (ARTICLE.format("<article class=comment><p>" + "mine " * 50 + "</p></article>"), None),
+    (ARTICLE.format("") + "<aside><article><h2>Other</h2><p>" + "teaser " * 30 + "</p></article></aside>", None),
+    # names by their last word
+    *[(ARTICLE.format(f"<div class='{name}'><p>" + "mine " * 50 + "</p></div>"), None) for name in (
+        "post-comments", "userComments", "commentlist", "site-header", "comment-17", "mainMenu", "entry-footer", "siteFooter", "post-share")],
+    *[(ARTICLE.format(f"<div class='{name}'><p>mine</p></div>"), "mine") for name in (
+        "article-header", "comments-open", "has-comments", "commentary", "category-ads", "with-sidebar")],
+    # forms
+    (ARTICLE.format("<p>W <button>Share now</button></p>"), "W"), (ARTICLE.format("<p>W <label for=a>Name</label></p>"), "W"),
+    (ARTICLE.format("<label>"), None), (ARTICLE.format("<button>"), None),
+    # cards that are links as a whole
+    ("<p>" + "word " * 40 + "</p><p>" + "word " * 40 + "</p>" + ("<a href=/><div>" + "card " * 25 + "</div></a>") * 3, "\n".join(["word " * 39 + "word"] * 2)),
+    # hidden elements
+    *[(ARTICLE.format(f"<div {mark}><p>" + "mine " * 50 + "</p></div>"), None) for mark in (
+        "hidden", "style='color: red; display:none'", "style=visibility:hidden", 'aria-hidden="true"')],
+    (ARTICLE.format("<p>seen <span hidden>unseen</span></p>"), "seen"), (ARTICLE.format("<p aria-hidden=false>seen</p>"), "seen"),
+])
+def test_main_text_of_hostile_markup(page, expected):
+    if page.startswith("<article>"):
+        middle = [expected] if expected else []
+        expected = "\n".join(["Title of it", " ".join(["word"] * 40), *middle, " ".join(["last"] * 30)])
+    assert boilerplate.main_text(page) == expected
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 20_000 + "<p>x" * 20_000, "<p><div>" + "<i>" * 20_000 + "</b>" * 20_000, "<b><div>" + "<i>" * 20_000 + "</b>" * 20_000,
+    "<li><ul>" + "<b>" * 20_000 + "<li></li>" * 20_000, "<svg>" * 20_000, "<svg " * 20_000, "<label>" * 20_000, "<a href=x>" * 20_000 + "<div>" * 20_000,
+])
+def test_many_open_elements_take_linear_time(page):
+    started = time.monotonic()
+    boilerplate.blocks_of(page)
+    assert time.monotonic() - started < 5
+
+
 def test_pages_table(spark):
     rows = [(1, "u", None, 1), (2, None, "", 1), (None, "u", "<article>x y</article>", 1), (3, "u", "<article>x y</article>", 1), (3, "u", "<article>x y</article>", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
