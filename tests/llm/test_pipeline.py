@@ -54,6 +54,8 @@ def test_stages_take_awkward_tables(spark):
             out = stage(spark, rows, SF)
             assert out.columns == rows.columns, name
             assert out.count() <= rows.count()
+        out = dict(corpus_pipeline.STAGES)["encode"](spark, rows, SF)
+        assert out.count() == rows.count() and {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns)
     once = dict(corpus_pipeline.STAGES)["exact_dedup"](spark, documents(spark), SF)
     assert once.count() == len({t or "" for _, t in TEXTS})
 
