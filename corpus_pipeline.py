@@ -1,4 +1,11 @@
-"""Cleaning of a document corpus in stages, each a call of one text operator."""
+"""Cleaning of a document corpus in stages, each a call of one text operator.
+
+Defined results, for every stage: null text counts as empty; a null doc_id is an id like others, and rows are
+told apart by id and text; the filtering stages leave rows as they are, with all their columns, whatever
+these are called; rows that repeat share their fate, of which the two dedup stages leave one; of
+equal texts the largest doc_id stays, of near ones the smallest; an empty table gives an empty one.
+The last stage gives one row of digests for every row.
+"""
 
 from __future__ import annotations
 
