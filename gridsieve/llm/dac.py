@@ -32,7 +32,6 @@ from gridsieve.llm.common import keep, map_batches, slices
 
 END_ID = 2
 SEGMENT_IDS = 1 << 18
-LONG_TEXT = 100_000
 _SUPER = 15
 
 SCHEMA = (
@@ -94,8 +93,8 @@ class TextEncoder:
     """Byte-level BPE of the tokenizers library.
 
     Texts go through tiktoken, which has the same vocabulary, merges and pattern and is four
-    times as fast; texts above ``LONG_TEXT`` characters, and those that name a special token, go
-    through the tokenizers library itself.  Tests compare the two.
+    times as fast.  Texts that name a special token, and those on which its pattern gives up
+    (about a million spaces in a row), go through the tokenizers library itself.  Tests compare the two.
     """
 
     def __init__(self, path: str, ranks_path: str):
@@ -113,9 +112,12 @@ class TextEncoder:
         )
 
     def encode(self, text: str) -> np.ndarray:
-        if len(text) > LONG_TEXT or any(s in text for s in self.special):
-            return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.fast.encode_to_numpy(text, disallowed_special=())
+        if not any(s in text for s in self.special):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=())
+            except ValueError:
+                pass
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 @lru_cache(maxsize=2)

@@ -111,3 +111,12 @@ def test_fast_and_slow_encoders_agree():
     for _ in range(2000):
         text = "".join(chr(rng.choice([rng.randrange(1, 0x250), rng.randrange(0x250, 0xD7FF), 32, 10])) for _ in range(50))
         assert coder.encode(text).tolist() == coder.slow.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("sign", [" ", "\n", "a"])
+@pytest.mark.parametrize("n", [99_999, 100_001, 999_990, 1_000_010])
+def test_long_runs_on_both_sides_of_the_limit(sign, n):
+    """The pattern of the fast encoder gives up on a million of white space; results stay those of the library."""
+    coder = dac.text_encoder(*dac.default_files())
+    text = "start" + sign * n + "end"
+    assert coder.encode(text).tolist() == coder.slow.encode(text, add_special_tokens=False).ids
