@@ -10,11 +10,12 @@ and the ``k`` largest sums stay.
 that best parts good from bad among labelled documents held out from the target model.
 
 Labels are a bounded sample: the ``LABEL_LIMIT`` doc_ids with the smallest hashes; three of four
-form the target, the fourth sets the cutoff.  All else covers all documents, and what is gathered is
-one count per bucket.
+form the target, the fourth sets the cutoff.  Toxic documents of good quality serve neither; they are
+weighed like all others.  All else covers all documents, and what is gathered is one count per bucket
+and one weight per held-out id.
 
 Defined results: null text counts as empty and weighs zero; null labels are left out; a doc_id with
-several labels is good only if all say so; without labels of both kinds every document stays; ties
+several labels is good only if all say so, and one with several rows is held out with its smallest weight; without labels of both kinds every document stays; ties
 at the last place all stay; repeated rows share their result; an empty table gives an empty result.
 """
 
@@ -78,12 +79,14 @@ def sample_labels(labels: DataFrame, limit: int = LABEL_LIMIT) -> dict[str, np.n
     )
     out: dict[str, list[int]] = {"target": [], "good": [], "bad": []}
     for r in told:
-        good = r["quality"] > 0 and r["toxic"] == 0
-        if r["h"] % 4:
-            if good:
-                out["target"].append(r["doc_id"])
+        if r["quality"] <= 0:
+            kind = "bad" if r["h"] % 4 == 0 else None
+        elif r["toxic"] > 0:
+            kind = None
         else:
-            out["good" if r["quality"] > 0 else "bad"].append(r["doc_id"])
+            kind = "good" if r["h"] % 4 == 0 else "target"
+        if kind is not None:
+            out[kind].append(r["doc_id"])
     return {k: np.array(sorted(v), np.int64) for k, v in out.items()}
 
 
@@ -189,7 +192,9 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LABEL_LIMIT) -> tuple
     held_out = docs.sparkSession.createDataFrame(
         [(int(i), kind) for kind in ("good", "bad") for i in sample[kind]], "doc_id long, kind string"
     )
-    seen = scored.join(F.broadcast(held_out), "doc_id").select("kind", "log_weight").distinct().collect()
+    # one weight for each held-out id, however many rows have it
+    of_id = scored.join(F.broadcast(held_out), "doc_id").groupBy("doc_id", "kind").agg(F.min("log_weight").alias("log_weight"))
+    seen = of_id.select("kind", "log_weight").distinct().collect()
     model.cutoff = best_cutoff(*[np.array([r["log_weight"] for r in seen if r["kind"] == k]) for k in ("good", "bad")])
     if not len(sample["target"]):
         model.cutoff = float("-inf")

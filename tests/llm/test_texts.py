@@ -2,14 +2,17 @@ import collections
 import hashlib
 import itertools
 import json
+import math
 import random
 import re
+import struct
 import time
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from cases import LONG, TEXTS, documents, nothing, pairs
 from pyspark.sql import functions as F
 
@@ -295,6 +298,95 @@ def test_quality_of_awkward_tables(spark):
     assert resample.drawn(nothing(spark), labels).count() == 0
 
 
+def plain_mixed(x):
+    x = (x ^ x >> 31) * 0x7FB5D329728EA185 % 2**64
+    x = (x ^ x >> 27) * 0x81DADEF4BC2DD44D % 2**64
+    return x ^ x >> 33
+
+
+def plain_buckets(text):
+    """Buckets of words, runs of signs and pairs of neighbours, by the hash as it is defined."""
+    single = []
+    for token in re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+|[!-/:-@\[-`{-~]+", text or ""):
+        single.append(plain_mixed(sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 2**64) for i, b in enumerate(token.encode())) % 2**64))
+    double = [plain_mixed((a * 0x9FB21C651E98DF25 + b) % 2**64) for a, b in itertools.pairwise(single)]
+    return [h >> 50 for h in single + double]
+
+
+def plain_resample(rows, labels):
+    """(doc_id, log weight, key, kept) of every row, without Spark or arrays."""
+    told = collections.defaultdict(list)
+    for doc_id, quality, toxic in labels:
+        if doc_id is not None and quality is not None:
+            told[doc_id].append((quality, toxic or 0))
+    held_out, target = {}, set()
+    for doc_id, marks in told.items():
+        fourth = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), seed=42) % 4 == 0
+        if min(q for q, _ in marks) <= 0:
+            if fourth:
+                held_out[doc_id] = False
+        elif max(t for _, t in marks) == 0:
+            if fourth:
+                held_out[doc_id] = True
+            else:
+                target.add(doc_id)
+    cut = [plain_buckets(text) for _, text in rows]
+    raw = collections.Counter(b for own in cut for b in own)
+    wanted = collections.Counter(b for (doc_id, _), own in zip(rows, cut, strict=True) if doc_id in target for b in own)
+    spread = resample.SMOOTHING * resample.BUCKETS
+    ratio = {
+        b: math.log((wanted[b] + resample.SMOOTHING) / (wanted.total() + spread))
+        - math.log((n + resample.SMOOTHING) / (raw.total() + spread))
+        for b, n in raw.items()
+    }
+    weights = [math.fsum(ratio[b] for b in own) for own in cut]
+    keys = []
+    for (doc_id, _), weight in zip(rows, weights, strict=True):
+        x = plain_mixed(((-1 if doc_id is None else doc_id) * 0xD6E8FEB86659FD93 + resample.SEED) % 2**64)
+        keys.append(weight - math.log(-math.log(((x >> 11) + 0.5) / 2**53)))
+    of_id = {}
+    for (doc_id, _), weight in zip(rows, weights, strict=True):
+        if doc_id in held_out:
+            of_id[doc_id] = min(weight, of_id.get(doc_id, math.inf))
+    good, bad = ({w for i, w in of_id.items() if held_out[i] is kind} for kind in (True, False))
+    cutoff = -math.inf
+    if good and bad and target:
+        tried = sorted(good | bad)
+        right = [sum(w >= t for w in good) / len(good) + sum(w < t for w in bad) / len(bad) for t in tried]
+        at = right.index(max(right))
+        cutoff = (tried[at] + tried[at - 1]) / 2 if at else tried[0]
+    k = sum(w >= cutoff for w in weights)
+    least = sorted(keys, reverse=True)[k - 1] if k else math.inf
+    return [(i, w, key, key >= least) for (i, _), w, key in zip(rows, weights, keys, strict=True)]
+
+
+def test_the_whole_draw_matches_plain_python(spark):
+    columns = "doc_id long, quality int, toxic int"
+    labels = [tuple(r) for r in spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality", "toxic").collect()]
+    labels += [(4, 0, 0), (15, 1, 1), (16, None, 0), (None, 1, 0), (9, 0, None), (-5, 0, 1)]
+    # ids that repeat with other texts, one of them very often, count once in the cutoff
+    told = sorted({i for i, *_ in labels if i is not None})
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + TEXTS
+    rows += [(i, f"again {i} and again") for i in told[:20]] + [(told[3], f"hot {n}") for n in range(300)]
+    found = resample.resample(documents(spark, rows), spark.createDataFrame(labels, columns)).collect()
+    expected = plain_resample(rows, labels)
+    assert len(found) == len(expected) and 0 < sum(e[3] for e in expected) < len(expected)
+
+    def ordered(result):
+        return sorted(result, key=lambda r: (r[0] is None, r[0] or 0, round(r[1], 6), round(r[2], 6)))
+
+    for a, b in zip(ordered([tuple(r) for r in found]), ordered(expected), strict=True):
+        assert a[0] == b[0] and a[3] == b[3]
+        assert math.isclose(a[1], b[1], rel_tol=1e-9, abs_tol=1e-7) and math.isclose(a[2], b[2], rel_tol=1e-9, abs_tol=1e-7)
+
+
+def test_toxic_documents_of_good_quality_are_not_held_out(spark):
+    labels = spark.range(4000).selectExpr("id AS doc_id", "1 AS quality", "CAST(id % 2 AS INT) AS toxic")
+    sample = resample.sample_labels(labels)
+    assert not any(i % 2 for kind in sample.values() for i in kind.tolist())
+    assert len(sample["target"]) > 1300 and len(sample["good"]) > 400 and not len(sample["bad"])
+
+
 def test_gumbel_variates():
     drawn = resample.gumbel(np.arange(100_000))
     assert abs(drawn.mean() - 0.5772) < 0.02 and abs(drawn.var() - np.pi**2 / 6) < 0.05
