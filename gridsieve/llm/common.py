@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gridsieve.scale import scratch_dir
 
 # Python tasks work on slices of about this many bytes of text, whatever Spark's batches hold.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 _NULL_ID = -(2**63)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
