@@ -1,4 +1,4 @@
-"""Many requests: slots of time and place, folders of requests."""
+"""Many requests: slots of time and place, folders of requests, and how they are listed."""
 
 import glob
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import gridsieve as gs
 from gridsieve.operators.timeclip import time_slots, within
-from gridsieve.plans.many import by_time
+from gridsieve.plans.many import by_time, read_extract
 from gridsieve.sinks.writers import write_parquet
 from test_clip import polygon, square
 
@@ -97,3 +97,17 @@ def test_folders_are_rarely_split_over_files(spark, tmp_path):
     few, many = (len(glob.glob(f"{tmp_path}/{name}/*/*.parquet")) for name in ("few", "many"))
     assert many == 300 < few
     assert spark.read.parquet(f"{tmp_path}/many").count() == 200_000
+
+
+def test_folders_of_requests_are_listed_by_few_tasks(spark, tmp_path):
+    spark.range(150).withColumnRenamed("id", "request_id").withColumn("v", F.lit(1.0)).coalesce(1).write.partitionBy(
+        "request_id"
+    ).parquet(f"{tmp_path}/datasets/x.parquet")
+    tracker = spark.sparkContext.statusTracker()
+    seen = set(tracker.getJobIdsForGroup(None))
+    read = read_extract(spark, str(tmp_path), "x")
+    stages = [s for j in set(tracker.getJobIdsForGroup(None)) - seen for s in tracker.getJobInfo(j).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) < 150
+    assert read.agg(F.sum("request_id"), F.count("*")).first()[:] == (150 * 149 // 2, 150)
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism", None) is None
