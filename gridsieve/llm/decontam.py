@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridsieve.llm.common import (
-    LOWER, WORD_BYTES, byte_classes, keep, map_batches, mixed, slices, token_hashes, tokens, utf8,
+    LOWER, WORD_BYTES, byte_classes, in_arrow, keep, map_batches, mixed, slices, token_hashes, tokens, utf8,
 )
 
 SPAN = 12
@@ -230,7 +230,7 @@ def scan(docs: DataFrame, shapes: list[tuple[int, ...]], bloom: Bloom, margin: i
             words = lower[starts[low] : ends[high - 1]].tobytes()
             yield part.column(0)[d].as_py(), shas[d], int(low - begin), words, hits
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, REGIONS)
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, REGIONS)
 
 
 def best_overlap(item: list[bytes], words: list[bytes], shift: int) -> tuple[int, int, int] | None:
@@ -301,10 +301,13 @@ def claims_of(places: DataFrame, regions: DataFrame, items: DataFrame) -> DataFr
                     ["doc_id", "text_sha256", "first_word", "item", "shift", "words"],
                 )
 
-    cut = whole.select("doc_id", "text_sha256", "first_word", "words", "places").mapInArrow(
-        run, "doc_id long, text_sha256 string, first_word long, item long, shift long, words binary"
+    cut = in_arrow(
+        whole.select("doc_id", "text_sha256", "first_word", "words", "places"),
+        run,
+        "doc_id long, text_sha256 string, first_word long, item long, shift long, words binary",
     )
-    return cut.join(items.withColumnRenamed("text", "item_text"), "item")
+    # Written first, as the places are verified in Python too: a stage of both would take two workers for each task.
+    return keep(cut).join(items.withColumnRenamed("text", "item_text"), "item")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

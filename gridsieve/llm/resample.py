@@ -26,11 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsieve.llm.common import (
-    WORD_BYTES, byte_classes, keep, map_batches, mixed, slices, token_hashes, tokens, utf8,
+    WORD_BYTES, bound_batches, byte_classes, in_arrow, keep, map_batches, mixed, slices, token_hashes, tokens, utf8,
 )
 
 BUCKETS = 1 << 14
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, target: np.ndarray) -> Model:
         )
 
     counts = np.zeros((2, BUCKETS))
-    partial = _read(docs).mapInArrow(run, "bucket long, raw long, wanted long")
+    partial = in_arrow(_read(docs), run, "bucket long, raw long, wanted long")
     for r in partial.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("wanted").alias("wanted")).collect():
         counts[:, r["bucket"]] = r["raw"], r["wanted"]
     p = (counts + SMOOTHING) / (counts.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)
@@ -184,14 +184,19 @@ def kth_largest(values: DataFrame, column: str, k: int) -> float:
     return low
 
 
+def labelled(spark: SparkSession, sample: dict[str, np.ndarray]) -> DataFrame:
+    """doc_id, kind of the ids held out; from Arrow, as rows from a list would start a second set of Python workers."""
+    ids = pa.array(np.concatenate([sample["good"], sample["bad"]]), pa.int64())
+    kinds = pa.array(["good"] * len(sample["good"]) + ["bad"] * len(sample["bad"]), pa.string())
+    return spark.createDataFrame(pa.table({"doc_id": ids, "kind": kinds}))
+
+
 def train(docs: DataFrame, labels: DataFrame, limit: int = LABEL_LIMIT) -> tuple[Model, DataFrame]:
     """The model with its threshold, and the scores of all rows (kept in the shared folder)."""
     sample = sample_labels(labels, limit)
     model = fit(docs, sample["target"])
     scored = keep(score(docs, model))
-    held_out = docs.sparkSession.createDataFrame(
-        [(int(i), kind) for kind in ("good", "bad") for i in sample[kind]], "doc_id long, kind string"
-    )
+    held_out = labelled(docs.sparkSession, sample)
     # one weight for each held-out id, however many rows have it
     of_id = scored.join(F.broadcast(held_out), "doc_id").groupBy("doc_id", "kind").agg(F.min("log_weight").alias("log_weight"))
     seen = of_id.select("kind", "log_weight").distinct().collect()
@@ -217,6 +222,7 @@ def drawn(docs: DataFrame, labels: DataFrame, limit: int = LABEL_LIMIT) -> DataF
 
 def _key(docs: DataFrame, model: Model):
     shared = docs.sparkSession.sparkContext.broadcast(model.log_ratio)
+    bound_batches(docs)
 
     @F.arrow_udf("double")
     def key(ids: pa.Array, texts: pa.Array) -> pa.Array:

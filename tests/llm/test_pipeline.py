@@ -4,14 +4,18 @@ import hashlib
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
+import pytest
 import sentencepiece
 from cases import TEXTS, documents, nothing
 from test_dedup import plain_components
 
 from gridsieve.llm import decontam, pieces, resample, simhash
+from gridsieve.llm.common import SLICE_BYTES, map_batches
 from gridsieve.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def plain_run(docs, kept_by_quality, items):
@@ -60,6 +64,51 @@ def test_stages_take_awkward_tables(spark):
     assert once.count() == len({t or "" for _, t in TEXTS})
 
 
+@pytest.fixture
+def limit_unset(spark):
+    spark.conf.unset(BATCH_LIMIT)
+    yield
+    spark.conf.unset(BATCH_LIMIT)
+
+
+def test_batches_for_python_are_bounded(spark, limit_unset):
+    texts = spark.range(4000).selectExpr("id as doc_id", "repeat('x', if(id = 7, 2000000, 2000)) as text").coalesce(1)
+    map_batches(texts, lambda part: part, "doc_id long, text string")  # any operator bounds its session
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["rows", "bytes"])
+
+    found = texts.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in found) == 4000
+    assert sorted(r["bytes"] for r in found)[-2] <= SLICE_BYTES + 4096  # one row alone is longer
+
+
+def test_a_limit_of_the_session_stays(spark, limit_unset):
+    spark.conf.set(BATCH_LIMIT, "1m")
+    map_batches(spark.range(9), lambda part: part, "id long")
+    assert spark.conf.get(BATCH_LIMIT) == "1m"
+
+
+def test_one_python_step_in_each_plan(spark, capsys):
+    """Each Python step of a plan takes a worker of its own for every task, and rows from a list take others."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    found = decontam.contaminated(items.selectExpr("item_id as doc_id", "text"), items)
+    found.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} >= {(r["item_id"],) * 2 for r in items.collect()}
+
+
+def test_held_out_ids_start_no_workers(spark, capsys):
+    sample = {"target": np.array([5]), "good": np.array([1, 3]), "bad": np.array([2])}
+    found = resample.labelled(spark, sample)
+    found.explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+    assert [tuple(r) for r in found.collect()] == [(1, "good"), (3, "good"), (2, "bad")]
+    nobody = resample.labelled(spark, dict.fromkeys(sample, np.zeros(0, np.int64)))
+    assert nobody.dtypes == [("doc_id", "bigint"), ("kind", "string")] and not nobody.collect()
+
+
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "decontaminate", "encode"]
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, len(QUERIES) + 1))
