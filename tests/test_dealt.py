@@ -83,6 +83,15 @@ def test_rows_with_maps_are_dealt(spark):
     )
 
 
+def test_rows_of_a_block_are_in_order(spark):
+    # so that equal values lie together in the files
+    large = spark.range(500, numPartitions=3).select(
+        F.lit(1).alias("k"), (F.col("id") * 7919 % 500 / 50).cast("int").alias("x"), (F.col("id") * 7919 % 500).alias("v")
+    )
+    found = dealt_join(large, spark.createDataFrame([(1, 5)], "k INT, who BIGINT"), ["k"], "who").collect()
+    assert [(r["x"], r["v"]) for r in found] == [(i // 50, i) for i in range(500)]
+
+
 def test_running_total_over_partitions(spark):
     rows = spark.range(1000, numPartitions=7).select(F.col("id").alias("n"), (F.col("id") % 5).alias("w"))
     found = running_total(rows, ["n"], "w", "before").collect()
